@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
-from . import aliases, defects, form_copies, lookalikes, winnow
+from ..session import checkpointed, table
+from . import abuse, aliases, defects, form_copies, lookalikes, mixing, packing, winnow
+from .tokens import TOKENIZER, token_count
 
 
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,5 +92,57 @@ def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.orderBy(F.desc("n_entries"), "field_kind", "entered_value")
 
 
-QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched}
+def _sized(spark: SparkSession, sf_dir: str, *columns: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return documents.select("doc_id", *columns, token_count(F.col("text"), tokenizer).alias("tokens"))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int, DataFrame]]:
+    sized = checkpointed(_sized(spark, sf_dir))
+    limits = table(spark, sf_dir, "pack_limits").orderBy("limit_name").collect()  # one row for each capacity asked for
+    return [(r["limit_name"], r["capacity_tokens"], r["separator_tokens"], packing.pack(sized, "doc_id", "tokens", r["capacity_tokens"], r["separator_tokens"])) for r in limits]
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document, or piece of a document, stands for each limit."""
+    placed = [packed.select(F.lit(name).alias("limit_name"), *packed.columns) for name, _, _, packed in _packed(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, placed)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, unused share and the least number of containers for each limit."""
+    reports = [packing.fill_report(packed, capacity, separator).withColumn("limit_name", F.lit(name)) for name, capacity, separator, packed in _packed(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix with their numbers of copies."""
+    sized = checkpointed(_sized(spark, sf_dir, "source", "text"))
+    return mixing.mix(sized, table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source."""
+    sized = checkpointed(_sized(spark, sf_dir, "source", "text"))
+    targets = table(spark, sf_dir, "mix_targets")
+    return mixing.share_report(mixing.mix(sized, targets), sized, targets)
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document for abusive, hateful or sexually explicit wording."""
+    return abuse.abuse_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_scores(spark, sf_dir).where("flagged").select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, flagged documents and their rate per source."""
+    documents = table(spark, sf_dir, "documents")
+    scored = abuse.abuse_scores(documents, table(spark, sf_dir, "review_labels"), keep=["source"])
+    return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.col("flagged").cast("long")).alias("n_flagged"), F.round(F.avg(F.col("flagged").cast("double")), 6).alias("rate"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
