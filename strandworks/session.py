@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,16 +38,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; only where none is named, as in tests, make one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only where none is named, as in tests, a new one."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandworks-"))
+    set_ = context._jsc.sc().getCheckpointDir()
+    if set_.isDefined():
+        return set_.get()
+    context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandworks-"))
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder, so that a lost executor costs no recomputation and later reads share the work."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df written once as a table in the shared folder and read from there.
+
+    A lost executor costs no recomputation, later reads share the work and prune columns, and unlike checkpoint() nothing
+    is computed twice. The table is deleted when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jpath)
+    return spark.read.schema(df.schema).parquet(path)
