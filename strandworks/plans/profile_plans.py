@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, strip, token_estimate
+from ..functions.text import strip, token_estimate
 from ..operators import profile, ranking
 from ..session import table
+from .sql import collapse, words
+from .sql import strip as trimmed
 
 SEED = 17
 
@@ -124,27 +126,15 @@ QUERIES = _F | {"ext_leakage_remove_from_train": remove_leaks_from_train}
 
 
 
-def _n(x: str) -> str:
-    return f"regexp_replace(regexp_replace(lower({x}), '{SPACE}+', ' ', 'g'), '^ | $', '', 'g')"
-
-
-def _t(x: str) -> str:
-    return f"len(list_filter(regexp_split_to_array({x}, '{SPACE}+'), lambda x: x <> ''))"
-
-
-def _s(x: str) -> str:
-    return f"regexp_replace(coalesce({x}, ''), '^{SPACE}+|{SPACE}+$', '', 'g')"
-
-
-_PROFILE = f"""d AS (SELECT text IS NOT NULL AS v, sha256({_n('text')}) AS h, CASE WHEN text IS NOT NULL THEN {_t('text')} END AS t FROM documents),
+_PROFILE = f"""d AS (SELECT text IS NOT NULL AS v, sha256({collapse('text')}) AS h, CASE WHEN text IS NOT NULL THEN {words('text')} END AS t FROM documents),
   prof AS (SELECT count(*) AS total, count_if(v) AS valid, count_if(NOT v) AS invalid, count_if(v) - count(DISTINCT h) AS duplicates, min(t) AS tokens_min, max(t) AS tokens_max,
     round(avg(t), 2) AS tokens_mean, coalesce(round(count_if(v) / count(*), 4), 0.0) AS schema_validity,
     list_sort(list(t) FILTER (t IS NOT NULL))[1 + floor(0.95::DOUBLE * (count(t) - 1))::BIGINT] AS tokens_p95 FROM d)"""
 
 
 def _leak(train: str, evaluation: str, key: str, text: str) -> str:
-    return f"""firsts AS (SELECT {_n(text)} AS h, arg_min({text}, {key}) AS f FROM ({train}) WHERE {text} IS NOT NULL GROUP BY 1),
-  leaks AS (SELECT count_if(e.{text} = f.f) AS exact_leaks, count_if(f.f IS NOT NULL) AS normalised_leaks, count(*) AS evaluation_rows FROM ({evaluation}) e LEFT JOIN firsts f ON f.h = {_n('e.' + text)} WHERE e.{text} IS NOT NULL)"""
+    return f"""firsts AS (SELECT {collapse(text)} AS h, arg_min({text}, {key}) AS f FROM ({train}) WHERE {text} IS NOT NULL GROUP BY 1),
+  leaks AS (SELECT count_if(e.{text} = f.f) AS exact_leaks, count_if(f.f IS NOT NULL) AS normalised_leaks, count(*) AS evaluation_rows FROM ({evaluation}) e LEFT JOIN firsts f ON f.h = {collapse('e.' + text)} WHERE e.{text} IS NOT NULL)"""
 
 
 _DOC_LEAK = _leak("SELECT * FROM documents WHERE doc_id % 5 <> 0", "SELECT * FROM documents WHERE doc_id % 5 = 0", "doc_id", "text")
@@ -162,15 +152,15 @@ ORACLE = {
         UNION ALL SELECT 1, CASE WHEN duplicates > 0 THEN duplicates || ' duplicate rows' END FROM prof
         UNION ALL SELECT 2, CASE WHEN normalised_leaks > 0 THEN normalised_leaks || ' leaked evaluation rows' END FROM leaks
         UNION ALL SELECT 3, CASE WHEN imbalanced THEN 'class imbalance above 5.0' END FROM balance) SELECT * FROM w WHERE warning IS NOT NULL""",
-    "dedupe_keep_first": f"SELECT doc_id, source FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_n('text')} ORDER BY doc_id) = 1",
+    "dedupe_keep_first": f"SELECT doc_id, source FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {collapse('text')} ORDER BY doc_id) = 1",
     "split_assignments": f"WITH {_SPLIT} SELECT doc_id, split FROM splits",
     "split_counts": f"WITH {_SPLIT} SELECT split, count(*) AS n FROM splits GROUP BY 1",
-    "ext_leakage_remove_from_train": f"SELECT doc_id FROM documents WHERE doc_id % 5 <> 0 AND (text IS NULL OR {_n('text')} NOT IN (SELECT {_n('text')} FROM documents WHERE doc_id % 5 = 0 AND text IS NOT NULL))",
-    "token_stats_by_source": f"SELECT source, min(t) AS min, max(t) AS max, round(avg(t), 2) AS mean, list_sort(list(t))[1 + floor(0.95::DOUBLE * (count(t) - 1))::BIGINT] AS p95 FROM (SELECT source, coalesce({_t('output')}, 0) AS t FROM sft_rows) GROUP BY 1",
-    "sft_prompt": f"""WITH p AS (SELECT row_id, {_s('instruction')} AS i, {_s('input')} AS g, {_s('output')} AS o FROM sft_rows),
+    "ext_leakage_remove_from_train": f"SELECT doc_id FROM documents WHERE doc_id % 5 <> 0 AND (text IS NULL OR {collapse('text')} NOT IN (SELECT {collapse('text')} FROM documents WHERE doc_id % 5 = 0 AND text IS NOT NULL))",
+    "token_stats_by_source": f"SELECT source, min(t) AS min, max(t) AS max, round(avg(t), 2) AS mean, list_sort(list(t))[1 + floor(0.95::DOUBLE * (count(t) - 1))::BIGINT] AS p95 FROM (SELECT source, coalesce({words('output')}, 0) AS t FROM sft_rows) GROUP BY 1",
+    "sft_prompt": f"""WITH p AS (SELECT row_id, {trimmed('instruction')} AS i, {trimmed('input')} AS g, {trimmed('output')} AS o FROM sft_rows),
         q AS (SELECT row_id, '### Instruction:' || chr(10) || i || CASE WHEN g <> '' THEN chr(10) || chr(10) || '### Input:' || chr(10) || g ELSE '' END || chr(10) || chr(10) || '### Response:' || chr(10) AS prompt, o FROM p WHERE i <> '' AND o <> '')
         SELECT row_id, sha256(prompt) AS prompt_sha, length(prompt) AS prompt_chars, sha256(o) AS completion_sha FROM q""",
-    "label_mask": f"""WITH s AS (SELECT row_id, {_t("concat_ws(' ', instruction, input)")} AS n_prompt, coalesce({_t('output')}, 0) AS n_output FROM sft_rows),
+    "label_mask": f"""WITH s AS (SELECT row_id, {words("concat_ws(' ', instruction, input)")} AS n_prompt, coalesce({words('output')}, 0) AS n_output FROM sft_rows),
         p AS (SELECT *, max(n_prompt + n_output) OVER (PARTITION BY (row_id - 1) // 8) AS padded FROM s) SELECT row_id, n_prompt, n_output, padded, padded - n_output AS masked FROM p""",
     "json_field_filter": "SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS sum_k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50 GROUP BY 1",
     "latency_percentiles": """WITH v AS (SELECT event_type, floor(value * 10)::BIGINT AS v FROM events WHERE value IS NOT NULL), l AS (SELECT event_type, list_sort(list(v)) AS l, count(*) AS n FROM v GROUP BY 1)
