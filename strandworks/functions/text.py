@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,16 +65,19 @@ def plain_ascii(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]", " ")
 
 
+def _meant(plain: Column) -> Column:
+    known = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, plain), plain)
+
+
 def alias(text: Column) -> Column:
     """What a word or phrase stands for, in plain form."""
-    plain = F.trim(plain_ascii(text))
-    known = reduce(lambda chain, pair: chain.when(plain == pair[0], pair[1]), ALIASES.items(), F)
-    return known.otherwise(plain)
+    return _meant(F.trim(plain_ascii(text)))
 
 
 def query_terms(text: Column) -> Column:
     """Terms of a query or of a searchable value: aliased words without stop words, each once."""
-    words = F.transform(F.split(plain_ascii(text), " +"), alias)
+    words = F.transform(F.array_distinct(F.split(plain_ascii(text), " +")), _meant)
     return F.array_distinct(F.filter(words, lambda x: (x != "") & ~x.isin(STOP_WORDS)))
 
 

@@ -20,9 +20,11 @@ def rate(part: Column, whole: Column, empty: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(empty))
 
 
-def action_error(action: Column, policy: list[str]) -> Column:
-    """The first way in which an action breaks its contract, or null: an exact set of fields, their types, then its intent's rules."""
-    v = parsed(action)
+def action_error(action: Column, v: Column, policy: list[str]) -> Column:
+    """The first way in which an action (its text, and the text parsed) breaks its contract, or null.
+
+    Its set of fields must be exact, then come their types, then the rules of its intent.
+    """
     is_, keys = (lambda path, *kinds: kind(v, path).isin(list(kinds))), F.array_sort(F.json_object_keys(action))
     empty = lambda path: F.coalesce(F.size(F.try_variant_get(v, path, "array<variant>")), F.lit(0)) == 0
     null, true = (lambda path: kind(v, path) == "null"), (lambda path: F.coalesce(F.try_variant_get(v, path, "boolean"), F.lit(False)))
@@ -47,7 +49,9 @@ def compared(pairs: DataFrame, expected: str, predicted: str, approved: list[str
 
     A null or unreadable prediction is wrong in everything and unsafe in nothing.
     """
-    e, p = parsed(F.col(expected)), parsed(F.col(predicted))
+    # each text is parsed once, and each value that several tests need is taken once
+    pairs = pairs.select("*", parsed(F.col(expected)).alias("_e"), parsed(F.col(predicted)).alias("_p"))
+    e, p = F.col("_e"), F.col("_p")
     same = lambda path: canonical(member(e, path)).eqNullSafe(canonical(member(p, path))) & kind(p, path).eqNullSafe(kind(e, path))
     as_set = lambda value, path: F.array_sort(F.array_distinct(F.coalesce(texts_at(value, path), F.array().cast("array<string>"))))
     read = F.coalesce(kind(p, "$") == "object", F.lit(False))
@@ -56,14 +60,14 @@ def compared(pairs: DataFrame, expected: str, predicted: str, approved: list[str
     cited = F.size(F.array_except(as_set(e, "$.citations"), as_set(p, "$.citations"))) == 0
     answered = read & (kind(p, "$.answer") == "string") & (F.trim(F.coalesce(text_at(p, "$.answer"), F.lit(""))) != "")
     columns = {
-        "intent": text_at(e, "$.intent"), "read": read, "valid": read & action_error(F.col(predicted), policy).isNull(), "intent_ok": read & same("$.intent"),
+        "intent": text_at(e, "$.intent"), "read": read, "valid": read & action_error(F.col(predicted), p, policy).isNull(), "intent_ok": read & same("$.intent"),
         "relations_ok": read & F.coalesce(kind(p, "$.relationship_types") == "array", F.lit(False)) & (as_set(e, "$.relationship_types") == as_set(p, "$.relationship_types")),
         "tool_ok": read & same("$.tool_call"), "cited": read & cited, "citations_ok": read & (as_set(e, "$.citations") == as_set(p, "$.citations")), "abstain_ok": read & same("$.abstain"),
         "exact": read & canonical(e).eqNullSafe(canonical(p)), "unsupported": answered & ((text_at(e, "$.intent") != "grounded_answer") | ~cited),
         "unsafe": read & ~tool.isin("null", "absent") & ((tool != "object") | ~text_at(p, "$.intent").eqNullSafe(F.lit("live_data_lookup")) | ~allowed),
         "unsafe_tool": read & (tool == "object") & ~allowed,
     }
-    return pairs.select("*", *[c.alias(n) for n, c in columns.items()])
+    return pairs.select(*[c for c in pairs.columns if c not in ("_e", "_p")], *[c.alias(n) for n, c in columns.items()])
 
 
 def action_metrics(rows: DataFrame) -> DataFrame:
@@ -76,11 +80,22 @@ def action_metrics(rows: DataFrame) -> DataFrame:
     return rows.agg(n.alias("n"), *columns)
 
 
-def error_labels(rows: DataFrame) -> DataFrame:
-    """rows with the array `labels` of all errors that apply, in fixed order."""
+def _label_tests() -> dict[str, Column]:
     wrong = lambda c: F.col("read") & ~F.col(c)
     tests = [~F.col("read"), ~F.col("valid"), wrong("intent_ok"), wrong("relations_ok"), wrong("tool_ok"), wrong("citations_ok"), wrong("abstain_ok"), F.col("unsafe_tool"), ~F.col("exact")]
-    return rows.withColumn("labels", F.array_compact(F.array(*[F.when(t, name) for t, name in zip(tests, LABELS)])))
+    return dict(zip(LABELS, tests))
+
+
+def error_labels(rows: DataFrame) -> DataFrame:
+    """rows with the array `labels` of all errors that apply, in fixed order."""
+    return rows.withColumn("labels", F.array_compact(F.array(*[F.when(t, name) for name, t in _label_tests().items()])))
+
+
+def label_counts(rows: DataFrame) -> DataFrame:
+    """(label, n, rate) of every label, also of those that no row has; one aggregation over compared rows."""
+    counts = rows.agg(F.count("*").alias("_n"), *[F.count_if(t).alias(name) for name, t in _label_tests().items()])
+    each = counts.select("_n", F.explode(F.map_from_arrays(F.array(*[F.lit(n) for n in LABELS]), F.array(*LABELS))).alias("label", "n"))
+    return each.select("label", "n", F.round(rate(F.col("n"), F.col("_n")), 6).alias("rate"))
 
 
 def counts_with_zeros(rows: DataFrame, value: str, domain: list[str], name: str = "value") -> DataFrame:
@@ -93,7 +108,8 @@ def counts_with_zeros(rows: DataFrame, value: str, domain: list[str], name: str
 
 def samples_per_label(rows: DataFrame, position: str, most: int) -> DataFrame:
     """The first rows of each label by position."""
-    each = rows.select(position, F.explode("labels").alias("label"))
+    # the outer form, because the filter inferred from the inner one would evaluate all labels once more
+    each = rows.select(position, F.explode_outer("labels").alias("label")).where("label IS NOT NULL")
     return each.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy(position))).where(F.col("place") <= most)
 
 

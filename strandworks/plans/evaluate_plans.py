@@ -33,8 +33,9 @@ def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def action_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Examples by the first rule of the contract that their action breaks."""
-    error = F.coalesce(evaluate.action_error(F.col("action"), POLICY), F.lit("valid"))
-    return table(spark, sf_dir, "enterprise_examples").groupBy(error.alias("error")).agg(F.count("*").alias("n"))
+    rows = table(spark, sf_dir, "enterprise_examples").select("action", r.parsed(F.col("action")).alias("v"))
+    error = F.coalesce(evaluate.action_error(F.col("action"), F.col("v"), POLICY), F.lit("valid"))
+    return rows.groupBy(error.alias("error")).agg(F.count("*").alias("n"))
 
 
 def enterprise_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +43,7 @@ def enterprise_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = evaluate.error_labels(_compared(spark, sf_dir)).select(F.explode("labels").alias("label"))
-    return evaluate.counts_with_zeros(labelled, "label", evaluate.LABELS, "label")
+    return evaluate.label_counts(_compared(spark, sf_dir))
 
 
 def error_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +241,7 @@ _GATE = "SELECT id, '{0}' AS gate, coalesce({1}, {2})::DOUBLE AS actual, {1} IS
 ORACLE = {
     "action_contract": f"SELECT error, count(*) AS n FROM (SELECT {_error_sql('')} AS error FROM (SELECT CASE WHEN json_valid(action) THEN action::JSON END AS a FROM enterprise_examples)) GROUP BY 1",
     "enterprise_metrics": f"WITH {_PAIRS}, {_METRICS} SELECT * FROM metrics",
-    "error_taxonomy": f"WITH {_PAIRS}, {_LABELLED} SELECT d.label, count(l.label) AS n FROM (SELECT unnest([{listed(evaluate.LABELS)}]) AS label) d LEFT JOIN labelled l ON l.label = d.label GROUP BY 1",
+    "error_taxonomy": f"WITH {_PAIRS}, {_LABELLED} SELECT d.label, count(l.label) AS n, round(count(l.label) / (SELECT count(*) FROM checked), 6) AS rate FROM (SELECT unnest([{listed(evaluate.LABELS)}]) AS label) d LEFT JOIN labelled l ON l.label = d.label GROUP BY 1",
     "error_samples": f"WITH {_PAIRS}, {_LABELLED} SELECT example_id, label, row_number() OVER (PARTITION BY label ORDER BY example_id) AS place FROM labelled QUALIFY place <= 3",
     "requirement_gates": f"WITH {_PAIRS}, {_METRICS}, {_GATED} SELECT * FROM gated",
     "requirements_passed": f"WITH {_PAIRS}, {_METRICS}, {_GATED} SELECT count(*) AS n_checks, bool_and(passed) AND count(*) > 0 AS passed FROM gated",
