@@ -17,7 +17,9 @@ def blank(column: str) -> Column:
 def rows_failing(df: DataFrame, key: str, checks: dict[str, Column]) -> DataFrame:
     """A row for each check a row fails, in one scan; a check that is null fails."""
     failing = F.array_compact(F.array(*[F.when(F.coalesce(~ok, F.lit(True)), F.lit(name)) for name, ok in checks.items()]))
-    return df.select(F.col(key).cast("string").alias("row_key"), F.explode(failing).alias("check")).select("check", "row_key", F.concat_ws(" ", F.lit("failed"), "check").alias("message"))
+    # the outer form, because the filter inferred from the inner one would evaluate all checks once more
+    each = df.select(F.col(key).cast("string").alias("row_key"), F.explode_outer(failing).alias("check")).where("check IS NOT NULL")
+    return each.select("check", "row_key", F.concat_ws(" ", F.lit("failed"), "check").alias("message"))
 
 
 def filled(*columns: str) -> dict[str, Column]:

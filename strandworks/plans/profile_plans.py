@@ -134,7 +134,7 @@ _PROFILE = f"""d AS (SELECT text IS NOT NULL AS v, sha256({collapse('text')}) AS
 
 def _leak(train: str, evaluation: str, key: str, text: str) -> str:
     return f"""firsts AS (SELECT {collapse(text)} AS h, arg_min({text}, {key}) AS f FROM ({train}) WHERE {text} IS NOT NULL GROUP BY 1),
-  leaks AS (SELECT count_if(e.{text} = f.f) AS exact_leaks, count_if(f.f IS NOT NULL) AS normalised_leaks, count(*) AS evaluation_rows FROM ({evaluation}) e LEFT JOIN firsts f ON f.h = {collapse('e.' + text)} WHERE e.{text} IS NOT NULL)"""
+  leaks AS (SELECT count_if(coalesce(e.{text} = f.f, FALSE)) AS exact_leaks, count_if(f.f IS NOT NULL) AS normalised_leaks, count(*) AS evaluation_rows FROM ({evaluation}) e LEFT JOIN firsts f ON f.h = {collapse('e.' + text)} WHERE e.{text} IS NOT NULL)"""
 
 
 _DOC_LEAK = _leak("SELECT * FROM documents WHERE doc_id % 5 <> 0", "SELECT * FROM documents WHERE doc_id % 5 = 0", "doc_id", "text")
