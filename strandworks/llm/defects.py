@@ -212,7 +212,7 @@ def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, ou
     judged = own.select(F.col(key).alias("_key"), F.xxhash64(F.coalesce(F.lower(F.trim(F.col(instruction))), F.lit(""))).alias("group"), _ruled(F.col(instruction), F.col(prompt), F.col(output), F.col(lang)).alias("_r")).select("_key", "group", "_r.*")
     judged = checkpointed(judged)
     plain = judged.where("(defect IS NULL OR defect = 'language') AND words <> ''")
-    grams = checkpointed(plain.select("_key", "ended", "size", "words", _grams("group", "words").alias("_g")).select("_key", "ended", "size", "words", "_g.*"))
+    grams = checkpointed(plain.select("_key", "group", "ended", "size", "words", _grams("group", "words").alias("_g")).select("_key", "group", "ended", "size", "words", "_g.*"))
     seen = grams.select(F.explode("inside").alias("gram"), F.lit(1).alias("on"), F.lit(0).alias("end")).unionByName(grams.select(F.explode("last").alias("gram"), F.lit(0).alias("on"), F.lit(1).alias("end")))
     unfinished = grams.where("NOT ended")
     asked = unfinished.select("_key", F.posexplode("last").alias("place", "gram"))
@@ -221,17 +221,20 @@ def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, ou
     rates = known.groupBy("_key").agg(F.min_by(F.col("end") / (F.col("on") + F.col("end")), "place").alias("rate"))
     # how a group of responses to one instruction usually ends
     usual = plain.groupBy("group").agg(F.avg(F.col("ended").cast("double")).alias("usual"), F.count("*").alias("n_group"))
-    cut = shortened(grams.select(F.col("words").alias("text")))
+    # responses to one instruction are neighbours, so "No" is no shortened "None" of another question
+    placed = F.concat_ws(" ", F.hex("group"), "words")
+    cut = shortened(grams.select(placed.alias("text")))
     spikes = length_spikes(unfinished).withColumn("at_limit", F.lit(True))
     joined = (
-        unfinished.select("_key", "size", "words", "open").join(judged.select("_key", "group"), "_key").join(usual, "group").join(rates, "_key", "left")
-        .join(cut.select(F.col("text").alias("words"), "within_word"), "words", "left").join(spikes, "size", "left")
+        unfinished.select("_key", "group", "size", placed.alias("text"), "open").join(usual, "group").join(rates, "_key", "left")
+        .join(cut, "text", "left").join(spikes, "size", "left")
     )
     prose = F.col("usual") >= 0.5
     rare = F.coalesce(F.col("rate") < RARE_END, F.lit(False))
     unseen = F.col("rate").isNull() & prose & (F.col("n_group") >= SUPPORT)
-    extended = F.col("within_word").isNotNull() & F.coalesce(F.col("rate") < 0.5, F.lit(True)) & prose
-    at_limit = F.col("at_limit").isNotNull() & prose & F.coalesce(F.col("rate") < 0.5, F.lit(True))
-    truncated = joined.where(rare | F.col("within_word") | F.col("open") | unseen | extended | at_limit).select("_key", F.lit("truncated").alias("_t"))
+    unusual = F.coalesce(F.col("rate") < 0.5, F.lit(True))  # responses don't mostly go on to end here
+    extended = unusual & (F.col("within_word") | (F.col("within_word").isNotNull() & prose))
+    at_limit = unusual & F.col("at_limit").isNotNull() & prose
+    truncated = joined.where(rare | extended | F.col("open") | unseen | at_limit).select("_key", F.lit("truncated").alias("_t"))
     found = judged.join(truncated, "_key", "left").select(F.col("_key").alias(key), F.coalesce("_t", "defect").alias("defect"))
     return found.where("defect IS NOT NULL")

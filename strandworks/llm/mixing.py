@@ -124,9 +124,9 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str
     wanted = targets.where("source IS NOT NULL").select("source", "target_share", "max_repeats").orderBy("source").collect()
     names = [r["source"] for r in wanted]
     usable = documents.where(F.col(tokens) > 0).select(key, F.col(text).alias("_text"), F.col(source).alias("_source"), F.col(tokens).alias("_tokens"))
-    if not names:
+    sample = usable.where(F.col("_source").isin(names)).orderBy(F.xxhash64(key), key).limit(fitted).select("_text", "_source").toPandas() if names else []
+    if not len(sample):  # no source, or none of its documents
         return usable.select(key, F.col("_source").alias("source"), F.col("_tokens").alias("tokens"), F.lit(0).alias("copies")).limit(0)
-    sample = usable.where(F.col("_source").isin(names)).orderBy(F.xxhash64(key), key).limit(fitted).select("_text", "_source").toPandas()
     model = spark.sparkContext.broadcast(Membership(sample["_text"].tolist(), sample["_source"].tolist()))
     present = model.value.names
 

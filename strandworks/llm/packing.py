@@ -89,12 +89,16 @@ def _best_pair(left: _Sizes, j: int, free: int) -> int:
     high = bisect_right(order, free) - 1
     while low <= high:
         a, b = order[low], order[high]
-        enough = left.n[a] - (a == j) >= (2 if a == b else 1) and left.n[b] - (b == j) >= 1
-        if a + b > free:
+        if left.n[b] <= (b == j):  # only j itself
             high -= 1
+        elif left.n[a] <= (a == j):
+            low += 1
+        elif a + b > free:
+            high -= 1
+        elif a == b:
+            return max(best, a + b if left.n[a] - (a == j) > 1 else 0)
         else:
-            if enough:
-                best = max(best, a + b)
+            best = max(best, a + b)
             low += 1
     return best
 
