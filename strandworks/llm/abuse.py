@@ -26,6 +26,7 @@ WINDOW, STRIDE = 14, 7  # words per window, and between windows
 TERMS = 2 * WINDOW
 LABELLED = 20_000  # documents the model is fitted on at most, chosen by hash
 EPOCHS, RATE = 20, 0.4
+MISSED, SEEN = -1.5, 0.5  # raw scores at which the other half's machine contradicts a label of abuse, or of none
 TELLING = 1.0  # mean log odds of a window's terms from which it is an example by itself
 _LEET = str.maketrans("013457@$", "oieastas")
 _TAG = re.compile(r"<[^<>]{0,200}>")
@@ -194,7 +195,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, masks: Masks, epochs: int =
         machine.bias = 6.0 if bad else -6.0
         return machine
     odds = _first_scores([x[0] for x in kept], np.array([x[1] for x in kept]))
-    negative = np.unique(np.concatenate([ids for ids, _ in clean]), axis=0)
+    negative, often = np.unique(np.concatenate([ids for ids, _ in clean]), axis=0, return_counts=True)
+    often = often.astype(np.float32)  # a clean window weighs as often as it is said
     grown = [np.full(SLOTS, 1e-2, np.float32), np.full((SLOTS, FACTORS), 1e-2, np.float32), 1e-2]
     # besides its worst window, windows of an abusive document whose terms speak for abuse by themselves are examples too
     told = [(odds[ids] * (ids > 0)).sum(1) / np.maximum((ids > 0).sum(1), 1) for ids, _ in bad]
@@ -202,10 +204,12 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, masks: Masks, epochs: int =
         picked = [np.union1d(np.flatnonzero(t >= TELLING), [int(np.argmax(t if epoch == 0 else machine.raw(ids)))]) for (ids, _), t in zip(bad, told)]
         chosen = np.concatenate([ids[at] for (ids, _), at in zip(bad, picked)])
         trust = np.concatenate([np.full(len(at), y, np.float32) for (_, y), at in zip(bad, picked)])
-        ids = np.concatenate([chosen, negative])
-        y = np.concatenate([np.ones(len(chosen), np.float32), np.zeros(len(negative), np.float32)])
+        # empty windows are clean: a window of unknown words must not stand near the cut
+        blank = np.zeros((1 + (len(chosen) + len(negative)) // 10, TERMS), np.int32)
+        ids = np.concatenate([chosen, negative, blank])
+        y = np.concatenate([np.ones(len(chosen), np.float32), np.zeros(len(negative) + len(blank), np.float32)])
         # abusive documents weigh as much as clean windows do, up to a limit
-        weight = np.concatenate([trust * min(8.0, max(1.0, 0.5 * len(negative) / len(chosen))), np.ones(len(negative), np.float32)]).astype(np.float32)
+        weight = np.concatenate([trust * min(8.0, max(1.0, 0.5 * often.sum() / len(chosen))), often, np.ones(len(blank), np.float32)]).astype(np.float32)
         order = rng.permutation(len(ids))
         for start in range(0, len(order), 256):
             at = order[start : start + 256]
@@ -250,8 +254,9 @@ def _best_cut(raw: np.ndarray, abusive: np.ndarray) -> float:
 def train(texts: list[str], labels: list[float], epochs: int = EPOCHS) -> Machine:
     """A machine from labelled texts (labels are shares of raters who found abuse).
 
-    With 200 texts or more, two machines fitted on a half each judge the other half: labels that they contradict firmly
-    are set aside, raters' ties are decided where they are sure, and the cut is where they part the labels best.
+    With 200 texts or more, two machines fitted on a half each judge the other half, twice: labels that they contradict
+    firmly are set aside, and raters' ties are decided where they are sure. The cut lies midway between the labels that
+    were kept, as the machine fitted on them scores them.
     """
     counts, pairs = Counter(), Counter()
     for t in texts:
@@ -263,24 +268,21 @@ def train(texts: list[str], labels: list[float], epochs: int = EPOCHS) -> Machin
     used = np.array([len(b) > 0 for b in bags], bool) if bags else np.zeros(0, bool)
     if used.sum() < 200:
         return fit([b for b, u in zip(bags, used) if u], y[used], masks, epochs)
-    half, raw = np.arange(len(bags)) % 2, np.zeros(len(bags))
-    clear = used & ((y <= 0.25) | (y >= 0.75))
-    keep = used.copy()
-    for again in range(2):  # the second time without the labels that the first found wrong
+    half, clear = np.arange(len(bags)) % 2, used & ((y <= 0.25) | (y >= 0.75))
+    keep = clear.copy()
+    for again in range(2):
+        raw = np.zeros(len(bags))
         for part in (0, 1):
-            other = np.flatnonzero((half != part) & keep & (clear if not again else keep))
+            other = np.flatnonzero((half != part) & keep)
             machine = fit([bags[i] for i in other], y[other], masks, epochs, seed=7 + again)
             for i in np.flatnonzero((half == part) & used):
                 raw[i] = machine.raw(bags[i]).max()
-        cut = _best_cut(raw[clear], labels_of(y[clear]))
-        spread = max(0.5, float(np.std(raw[clear])) * 0.25)
-        abusive = np.array(labels, dtype=np.float32)
-        y = np.where(clear, abusive, (raw > cut).astype(np.float32))
-        keep = used & ~((y >= 0.5) & (raw < cut - spread)) & ~((y < 0.5) & (raw > cut + spread))
-        keep &= clear | (np.abs(raw - cut) > spread)
+        y = np.where(clear, np.array(labels, dtype=np.float32), (raw > 0).astype(np.float32))
+        wrong = ((y >= 0.5) & (raw < MISSED)) | ((y < 0.5) & (raw > SEEN))
+        keep = used & ~wrong & (clear | (np.abs(raw) > 1.0))
     chosen = np.flatnonzero(keep)
     machine = fit([bags[i] for i in chosen], y[chosen].astype(np.float32), masks, epochs)
-    machine.cut = _best_cut(raw[keep], labels_of(y[keep]))
+    machine.cut = _best_cut(np.array([machine.raw(bags[i]).max() for i in chosen]), labels_of(y[chosen]))
     return machine
 
 
