@@ -75,14 +75,6 @@ def intent_rules_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, True)
 
 
-def intent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often the rules give the intent, and the language, that media-action rows state."""
-    rows = table(spark, sf_dir, "sft_rows").where("instruction LIKE '%media action%' AND try_parse_json(output) IS NOT NULL")
-    judged = rows.select(rules.parse_intent(F.col("input")).alias("r"), F.get_json_object("output", "$.intent").alias("intent"), F.get_json_object("output", "$.constraints.language").alias("language"))
-    n = F.count("*")
-    return judged.agg(n.alias("n"), F.count_if(F.col("r.intent") == F.col("intent")).alias("intent_correct"), F.count_if(F.element_at("r.constraints", "language").eqNullSafe(F.col("language"))).alias("language_correct"), F.round(F.avg((F.col("r.intent") == F.col("intent")).cast("double")), 6).alias("intent_accuracy"))
-
-
 SEED, COUNT = 4, 2000
 TEMPLATES = ["play {title} in {language}", "show {mood} {genre} from {place}", "resume the {title} series", "find {genre} in {language} for {mood} evenings"]
 SLOTS = {"title": ["lantern", "harbour", "orchard", "quarry", "meadow"], "language": ["hindi", "english", "tamil"], "mood": ["funny", "calm"], "genre": ["movies", "news", "sports"], "place": ["Norvale", "Bexhaven", "Ostby", "Velmira"]}
@@ -136,7 +128,7 @@ def ext_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
-QUERIES = {f.__name__: f for f in (m3u_scan, media_assets, stable_ids, text_normalise_variants, intent_rules, intent_rules_service, intent_metrics, media_generate, prefix_cross_corpus, balanced_sample, augment_every_nth, ext_watch_features, ext_event_windows)}
+QUERIES = {f.__name__: f for f in (m3u_scan, media_assets, stable_ids, text_normalise_variants, intent_rules, intent_rules_service, media_generate, prefix_cross_corpus, balanced_sample, augment_every_nth, ext_watch_features, ext_event_windows)}
 
 _TOKEN = "CASE WHEN {t} = '' THEN 'unknown' ELSE {t} END"
 
@@ -153,8 +145,8 @@ def _slot_sql(name: str) -> str:
     return "CASE " + " ".join(f"WHEN contains(t, '{w}') THEN '{v}'" for w, v in rules.SLOTS[name]) + " END"
 
 
-def _rule_sql(service: bool) -> str:
-    """(intent, confidence, constraints, missing) per rule as CASE branches over t."""
+def utterance_sql(service: bool, source: str | None = None) -> str:
+    """The ladder as SQL over a table of (i, utterance), by default the listed utterances."""
     arms = []
     for rule in rules.LADDER:
         phrases = rule.phrases + (rules.SERVICE_PHRASES.get(rule.intent, ()) if service else ())
@@ -173,7 +165,8 @@ def _rule_sql(service: bool) -> str:
 
     intent = pick(lambda r: "CASE WHEN contains(t, 'play') THEN 'play' ELSE 'search' END" if r.intent == "{play}" else f"'{r.intent}'")
     values = ", ".join(f"({i}, '{u.replace(chr(39), chr(39) * 2)}')" for i, u in enumerate(UTTERANCES))
-    return f"""WITH u AS (SELECT i, {collapse('utterance')} AS t FROM (VALUES {values}) v(i, utterance)), r AS (SELECT i, {intent} AS intent, {pick(lambda r: f'{r.confidence}::DOUBLE')} AS confidence, {pick(constraint)} AS constraints, {pick(lambda r: f"'{';'.join(r.missing)}'")} AS missing FROM u)
+    given = source or f"(VALUES {values}) v(i, utterance)"
+    return f"""WITH u AS (SELECT i, {collapse('utterance')} AS t FROM {given}), r AS (SELECT i, {intent} AS intent, {pick(lambda r: f'{r.confidence}::DOUBLE')} AS confidence, {pick(constraint)} AS constraints, {pick(lambda r: f"'{';'.join(r.missing)}'")} AS missing FROM u)
         SELECT i, intent, 'media.' || intent AS tool, confidence, constraints, missing, missing <> '' AS clarification_required FROM r"""
 
 
@@ -211,8 +204,8 @@ ORACLE = {
           array_to_string(list_concat({_by_genre(media.THEMES)}, {_hinted(media.TITLE_THEMES)}), ';') AS themes, country, CASE {' '.join(f"WHEN country = 'IN' AND (contains({_LOW}, '{w}') OR list_contains(language, '{code}')) THEN '{r}'" for w, code, r in media.REGIONS)} WHEN country = 'IN' THEN 'india' WHEN country = 'US' THEN 'united_states' END AS region,
           coalesce(url, '') <> '' AS playable, CASE WHEN contains(shown, '4k') OR contains(shown, 'uhd') THEN '4k' WHEN regexp_matches(shown, '\\b(fhd|hd|1080)\\b') THEN 'hd' END AS resolution FROM l""",
     "stable_ids": f"SELECT DISTINCT 'code_' || replace({_token('path')}, '.', '_') AS id, {_token('qualified_name')} AS token, regexp_replace(path, '[^A-Za-z0-9._-]', '_', 'g') AS segment FROM code_symbols",
-    "intent_rules": _rule_sql(False),
-    "intent_rules_service": _rule_sql(True),
+    "intent_rules": utterance_sql(False),
+    "intent_rules_service": utterance_sql(True),
     "media_generate": f"SELECT i, (i % {len(TEMPLATES)})::INT AS template, {_FILLED} AS input FROM range({COUNT}) r(i)",
     "prefix_cross_corpus": f"SELECT DISTINCT p || 'find ' || p_name AS instruction FROM part, (SELECT unnest([{listed(PREFIXES)}]) AS p) WHERE p || 'find ' || p_name NOT IN (SELECT 'find ' || p_name FROM part WHERE p_partkey % 7 = 0)",
     "balanced_sample": f"""WITH r AS (SELECT example_id, family, row_number() OVER (PARTITION BY family ORDER BY example_id) AS rank, list_position([{listed(FAMILIES)}], family) - 1 AS turn FROM enterprise_examples WHERE family IN ({listed(FAMILIES)}))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["nested_plans", "orphan_plans", "profile_plans", "search_plans", "catalog_plans", "evaluate_plans", "media_plans"]
+MODULES = ["nested_plans", "orphan_plans", "profile_plans", "search_plans", "catalog_plans", "evaluate_plans", "media_plans", "records_plans"]
 
 
 def core_queries() -> dict:
