@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ranking import global_rank
+
 
 def choice(values: list[str], seed: int, salt: str, row: Column) -> Column:
     """One of the values for each row, by a seeded hash."""
@@ -22,9 +24,12 @@ def from_templates(spark: SparkSession, count: int, seed: int, templates: list[s
 
 
 def augment_every_nth(rows: DataFrame, family: str, order: str, n: int, draft: Column) -> DataFrame:
-    """rows, and of each family every n-th row by order once more with a faulty draft to correct; `augmented` tells them apart."""
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(family).orderBy(order)))
-    extra = ranked.where(F.col("_r") % n == 0).withColumn("draft", draft).withColumn("augmented", F.lit(True))
+    """rows, and of each family every n-th row by order once more with a faulty draft to correct; `augmented` tells them apart.
+
+    order must be unique within a family.
+    """
+    ranked = global_rank(rows, [order], [family], "_r")
+    extra = ranked.where((F.col("_r") + 1) % n == 0).withColumn("draft", draft).withColumn("augmented", F.lit(True))
     return ranked.withColumn("draft", F.lit(None).cast("string")).withColumn("augmented", F.lit(False)).unionByName(extra).drop("_r")
 
 

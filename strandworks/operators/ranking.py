@@ -61,7 +61,8 @@ def balanced(df: DataFrame, family: str, order: str, families: list[str], count:
     A family that has too few rows gives what it has.
     """
     quota = {f: count // len(families) + (i < count % len(families)) for i, f in enumerate(families)}
-    ranked = df.where(F.col(family).isin(families)).withColumn("rank", F.row_number().over(Window.partitionBy(family).orderBy(order)))
+    # the literal bound lets each task keep that many rows of a family before the shuffle
+    ranked = df.where(F.col(family).isin(families)).withColumn("rank", F.row_number().over(Window.partitionBy(family).orderBy(order))).where(F.col("rank") <= max(quota.values()))
     most = F.create_map(*[F.lit(x) for pair in quota.items() for x in pair])
     place = F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, i)])
     return ranked.where(F.col("rank") <= most[F.col(family)]).withColumn("turn", place[F.col(family)])
