@@ -213,14 +213,15 @@ def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, ou
     judged = checkpointed(judged)
     plain = judged.where("(defect IS NULL OR defect = 'language') AND words <> ''")
     grams = checkpointed(plain.select("_key", "group", "ended", "size", "words", _grams("group", "words").alias("_g")).select("_key", "group", "ended", "size", "words", "_g.*"))
-    seen = grams.select(F.explode("inside").alias("gram"), F.lit(1).alias("on"), F.lit(0).alias("end")).unionByName(grams.select(F.explode("last").alias("gram"), F.lit(0).alias("on"), F.lit(1).alias("end")))
+    # how a group of responses to one instruction usually ends; where that is like a sentence, only those that do show natural ends
+    usual = plain.groupBy("group").agg(F.avg(F.col("ended").cast("double")).alias("usual"), F.count("*").alias("n_group"))
+    natural = grams.join(usual, "group").where(F.col("ended") | (F.col("usual") < 0.5))
+    seen = grams.select(F.explode("inside").alias("gram"), F.lit(1).alias("on"), F.lit(0).alias("end")).unionByName(natural.select(F.explode("last").alias("gram"), F.lit(0).alias("on"), F.lit(1).alias("end")))
     unfinished = grams.where("NOT ended")
     asked = unfinished.select("_key", F.posexplode("last").alias("place", "gram"))
     counts = seen.groupBy("gram").agg(F.sum("on").alias("on"), F.sum("end").alias("end"))
     known = asked.join(counts, "gram").where(F.col("on") + F.col("end") >= SUPPORT)
     rates = known.groupBy("_key").agg(F.min_by(F.col("end") / (F.col("on") + F.col("end")), "place").alias("rate"))
-    # how a group of responses to one instruction usually ends
-    usual = plain.groupBy("group").agg(F.avg(F.col("ended").cast("double")).alias("usual"), F.count("*").alias("n_group"))
     # responses to one instruction are neighbours, so "No" is no shortened "None" of another question
     placed = F.concat_ws(" ", F.hex("group"), "words")
     cut = shortened(grams.select(placed.alias("text")))
