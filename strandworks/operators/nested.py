@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ TRIPLES = T.StructType([
     T.StructField("parent_pos", T.StringType()),
     T.StructField("ordinal", T.IntegerType()),  # order of the triple within its record
     T.StructField("path", T.StringType()),  # path below the ancestor, "" for the item itself
-    T.StructField("kind", T.StringType()),  # item, string, number, boolean or null
+    T.StructField("kind", T.StringType()),  # record, item, string, number, boolean or null
     T.StructField("value", T.StringType()),
 ])
 BATCH_ROWS = 20_000
@@ -76,7 +76,8 @@ def path_triples(records: DataFrame, record_id: str, json_text: str, repeated: M
     repeated maps the full path of each repeated ancestor to the names that mark one of its items. At such a path a list
     gives items at 0, 1, ...; an object that has one of these names, or any member that is not an object, is a single item
     at 0; any other object gives an item per member, whose position is the member's name. Null items give no row but count
-    as positions. Arrays at other paths stay columns "name[0]", "name[1]", ... of their table.
+    as positions. Arrays at other paths stay columns "name[0]", "name[1]", ... of their table. The record itself has a
+    triple at the node "", also where it has no members.
 
     A null record id, null or empty text, text that is no JSON and JSON that is no object have no triples. Records are not
     deduplicated here. Columns other than the two named are not read.
@@ -94,7 +95,7 @@ def path_triples(records: DataFrame, record_id: str, json_text: str, repeated: M
                     continue
                 if not isinstance(value, dict):
                     continue
-                out: list[tuple] = []
+                out: list[tuple] = [("", "", "", "", "record", None)]
                 _walk(value, "", "", "", "", "", marks, out)
                 rows += [(key, node, pos, parent, i, path, kind, x) for i, (node, pos, parent, path, kind, x) in enumerate(out)]
                 if len(rows) >= BATCH_ROWS:
@@ -107,6 +108,10 @@ def path_triples(records: DataFrame, record_id: str, json_text: str, repeated: M
     return chosen.where("record_id IS NOT NULL AND json IS NOT NULL").mapInArrow(parse, TRIPLES)
 
 
+def _leaf() -> Column:
+    return ~F.col("kind").isin("item", "record")
+
+
 def items(triples: DataFrame) -> DataFrame:
     """One row per nested item: record_id, node, pos, parent_pos."""
     return triples.where("kind = 'item'").select("record_id", "node", "pos", "parent_pos")
@@ -114,25 +119,26 @@ def items(triples: DataFrame) -> DataFrame:
 
 def leaf_paths(triples: DataFrame) -> DataFrame:
     """Which columns each table has, and how many rows fill them: the schema as it is found, pre-aggregated on each task."""
-    return triples.where("kind <> 'item'").groupBy("node", "path").agg(F.count("*").alias("n_values"), F.count("value").alias("n_present"))
+    return triples.where(_leaf()).groupBy("node", "path").agg(F.count("*").alias("n_values"), F.count("value").alias("n_present"))
 
 
 def pivot_table(triples: DataFrame, node: str, columns: list[str]) -> DataFrame:
     """The flat table of one repeated ancestor: record_id, pos, parent_pos, the named leaf columns, and the others in a map.
 
-    A leaf that is absent or null is null in its column. Every item has a row, also one without members. Leaves that are
-    not among columns stay in the map column "rest", so nothing is lost when objects have open member names. A column
-    name is its path with "." and brackets turned into "_".
+    A leaf that is absent or null is null in its column. Every item has a row, also one without members; the node "" has
+    one for each record. Leaves that are not among columns stay in the map column "rest", so nothing is lost when objects
+    have open member names. A column name is its path with "." and brackets turned into "_", and "value" for an item that
+    is itself a leaf.
     """
     own = triples.where(F.col("node") == node)
-    wanted = [F.max(F.when((F.col("path") == c) & (F.col("kind") != "item"), F.col("value"))).alias(_column(c)) for c in columns]
-    other = F.when((F.col("kind") != "item") & ~F.col("path").isin(columns), F.struct("path", "value"))
+    wanted = [F.max(F.when((F.col("path") == c) & _leaf(), F.col("value"))).alias(_column(c)) for c in columns]
+    other = F.when(_leaf() & ~F.col("path").isin(columns), F.struct("path", "value"))
     rest = F.map_from_entries(F.collect_list(other)).alias("rest")
     return own.groupBy("record_id", "pos", "parent_pos").agg(*wanted, rest)
 
 
 def _column(path: str) -> str:
-    return "".join(c if c.isalnum() else "_" for c in path)
+    return "".join(c if c.isalnum() else "_" for c in path) or "value"
 
 
 def latest_delivery(records: DataFrame, key: str, order: str, *values: str) -> DataFrame:

@@ -32,6 +32,7 @@ TABLES = {
     "rendition": ("quality.tiers.renditions", ["codec", "kbps"]),
     "credit": ("metadata.credits", ["name", "role"]),
 }
+ASSET_LEAVES = ["availability.live", "availability.playable", "metadata.catalogue.season", "metadata.tags.mood"]
 
 
 def _plain(parts: dict[str, set[str]]) -> dict[str, set[str]]:
@@ -68,12 +69,32 @@ def _part(name: str):
     return query
 
 
+def p1_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of the assets themselves: what stands outside of their repeated parts, one row for each asset.
+
+    rest is JSON, because titles and tags are free text that may hold any separator.
+    """
+    flat = pivot_table(asset_triples(spark, sf_dir), "", ASSET_LEAVES)
+    rest = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("rest"))), {"ignoreNullFields": "false"})
+    return flat.drop("pos", "parent_pos").withColumn("rest", rest)
+
+
+def p1_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of all teams of the vocabularies, each with its market and position."""
+    return pivot_table(vocabulary_triples(spark, sf_dir), "entities.team", ["id", "name"]).select(F.col("record_id").alias("market"), "pos", "id", "name")
+
+
+def p1_team_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of all aliases of teams, each with its market, its position and its team's position."""
+    return pivot_table(vocabulary_triples(spark, sf_dir), "entities.team.aliases", [""]).select(F.col("record_id").alias("market"), "pos", "parent_pos", F.col("value").alias("alias"))
+
+
 def p1_leaf_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns found in each table, with their number of values."""
-    return leaf_paths(asset_triples(spark, sf_dir))
+    return leaf_paths(asset_triples(spark, sf_dir).unionByName(vocabulary_triples(spark, sf_dir)))
 
 
-QUERIES = {"p1_found": p1_found, "p1_leaf_paths": p1_leaf_paths} | {f"p1_{name}s": _part(name) for name in TABLES}
+QUERIES = {"p1_found": p1_found, "p1_leaf_paths": p1_leaf_paths, "p1_assets": p1_assets, "p1_teams": p1_teams, "p1_team_aliases": p1_team_aliases} | {f"p1_{name}s": _part(name) for name in TABLES}
 
 _ITEM = """
   SELECT s.id, {pos} AS pos, e.value AS item

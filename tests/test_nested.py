@@ -3,6 +3,7 @@ import json
 from conftest import values
 
 from strandworks.operators.nested import items, latest_delivery, leaf_paths, path_triples, pivot_table
+from strandworks.plans.nested_plans import QUERIES
 
 PARTS = {"a.windows": {"territory", "offers"}, "a.windows.offers": {"kind"}}
 
@@ -41,6 +42,22 @@ def test_pivot_keeps_every_leaf(table):
     assert ("a.windows", "territory", 1, 1) in values(leaf_paths(triples))
 
 
+def test_the_records_own_level_and_aliases(spark, table, tmp_path):
+    texts = {"a": {"title": "x;y=z", "availability": {"live": True, "windows": [{"territory": "DE"}]}, "metadata": {"catalogue": {"season": 3}, "tags": {"mood": "calm", "x_1": None}}}, "b": {}, "c": {"quality": {"tiers": []}}}
+    rows = [(k, json.dumps(v), 1) for k, v in texts.items()] + [("d", "[1]", 1)]
+    table(rows, "id string, json string, at int").selectExpr("id", "json", "timestamp_seconds(at) AS ingested_at").write.parquet(f"{tmp_path}/media_assets.parquet")
+    team = "array<struct<id: string, name: string, aliases: array<string>>>"
+    markets = [("in", ([("t1", "Falcons", ["falcons", None, "ff"]), ("t2", "Lancers", None)],)), ("de", (None,)), ("fr", ([("t1", None, [])],))]
+    table(markets, f"market string, entities struct<team: {team}>").write.parquet(f"{tmp_path}/entities_v1.parquet")
+    asset = {r["record_id"]: r.asDict() for r in QUERIES["p1_assets"](spark, str(tmp_path)).collect()}
+    assert sorted(asset) == ["a", "b", "c"]
+    assert (asset["a"]["availability_live"], asset["a"]["metadata_catalogue_season"], asset["a"]["metadata_tags_mood"], asset["b"]["availability_live"]) == ("true", "3", "calm", None)
+    assert json.loads(asset["a"]["rest"]) == {"title": "x;y=z", "metadata.tags.x_1": None} and json.loads(asset["b"]["rest"]) == {}
+    assert values(QUERIES["p1_team_aliases"](spark, str(tmp_path)), "market", "pos", "parent_pos", "alias") == [("in", "0.0", "0", "falcons"), ("in", "0.2", "0", "ff")]
+    assert values(QUERIES["p1_teams"](spark, str(tmp_path)), "market", "pos", "id", "name") == [("fr", "0", "t1", None), ("in", "0", "t1", "Falcons"), ("in", "1", "t2", "Lancers")]
+    assert {("entities.team.aliases", "", 2, 2), ("entities.team", "name", 3, 2), ("", "title", 1, 1)} <= set(values(QUERIES["p1_leaf_paths"](spark, str(tmp_path))))
+
+
 def test_latest_delivery_counts_once(table):
     rows = table([("a", 1, "old"), ("a", 2, "new"), ("a", None, "undated"), (None, 3, "lost"), ("b", None, "only")], "id string, at int, json string").selectExpr("id", "timestamp_seconds(at) AS at", "json")
     assert values(latest_delivery(rows, "id", "at", "json")) == [("a", "new"), ("b", "only")]
