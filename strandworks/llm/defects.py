@@ -20,6 +20,7 @@ from .normal import canonical, words
 
 SUPPORT = 5  # occurrences of an ending from which its statistics count
 RARE_END = 0.2  # part of an ending's occurrences at the end of a response below which it breaks off
+ALL, LONGEST = 0, 5  # the group of all responses, in which those of 2^n to 2^(n+1) words, n up to 5, show what is usual
 SPIKE = 4.0  # how many times the neighbouring lengths' mean a length limit must hold
 
 # Texts that stand for no answer.
@@ -211,13 +212,27 @@ def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, ou
     own = rows.where(F.col(key).isNotNull())
     judged = own.select(F.col(key).alias("_key"), F.xxhash64(F.coalesce(F.lower(F.trim(F.col(instruction))), F.lit(""))).alias("group"), _ruled(F.col(instruction), F.col(prompt), F.col(output), F.col(lang)).alias("_r")).select("_key", "group", "_r.*")
     judged = checkpointed(judged)
-    plain = judged.where("(defect IS NULL OR defect = 'language') AND words <> ''")
-    grams = checkpointed(plain.select("_key", "group", "ended", "size", "words", _grams("group", "words").alias("_g")).select("_key", "group", "ended", "size", "words", "_g.*"))
-    # how a group of responses to one instruction usually ends; where that is like a sentence, only those that do show natural ends
-    usual = plain.groupBy("group").agg(F.avg(F.col("ended").cast("double")).alias("usual"), F.count("*").alias("n_group"))
-    natural = grams.join(usual, "group").where(F.col("ended") | (F.col("usual") < 0.5))
+    plain = judged.where("(defect IS NULL OR defect = 'language') AND words <> ''").withColumn("_words", F.size(F.split("words", " ")))
+    # a row is judged by the responses to its instruction, or, where those are too few, by all responses
+    groups = plain.groupBy("group").agg(F.count("*").alias("n_group"))
+    alone = F.col("n_group") < SUPPORT
+    shared = F.least(F.floor(F.log2("_words")).cast("int"), F.lit(LONGEST))
+    mine, all_ = F.struct("group", F.lit(-1).alias("length"), F.lit(True).alias("asks")), F.struct(F.lit(ALL).alias("group"), shared.alias("length"), alone.alias("asks"))
+    pools = F.when(alone, F.array(all_)).otherwise(F.array(mine, all_))
+    pooled = plain.join(groups, "group").select("_key", "ended", "size", "words", "_words", F.explode(pools).alias("_p")).select("_key", "ended", "size", "words", "_words", "_p.*")
+    grams = checkpointed(pooled.select("*", _grams("group", "words").alias("_g")).select(*pooled.columns, "_g.*"))
+    # how a group's responses usually end; where that is like a sentence, only those that do show natural ends
+    lengths = grams.groupBy("group", "length").agg(F.sum(F.col("ended").cast("int")).alias("_e"), F.count("*").alias("_n"))
+    # a length with few responses is judged with the longer ones, which its own may have been cut from, and one of under
+    # four words, which may well be whole, as no prose; at most LONGEST + 1 rows a window
+    longer = Window.partitionBy("group").orderBy(F.desc("length"))
+    few = F.col("_n") < SUPPORT
+    n_group, n_ended = (F.when(few, F.sum(x).over(longer)).otherwise(F.col(x)) for x in ("_n", "_e"))
+    part = F.when(few & F.col("length").between(0, 1), 0.0).otherwise(n_ended / n_group)
+    usual = lengths.select("group", "length", part.alias("usual"), n_group.alias("n_group"))
+    natural = grams.join(usual, ["group", "length"]).where(F.col("ended") | (F.col("usual") < 0.5))
     seen = grams.select(F.explode("inside").alias("gram"), F.lit(1).alias("on"), F.lit(0).alias("end")).unionByName(natural.select(F.explode("last").alias("gram"), F.lit(0).alias("on"), F.lit(1).alias("end")))
-    unfinished = grams.where("NOT ended")
+    unfinished = grams.where("NOT ended AND asks")
     asked = unfinished.select("_key", F.posexplode("last").alias("place", "gram"))
     counts = seen.groupBy("gram").agg(F.sum("on").alias("on"), F.sum("end").alias("end"))
     known = asked.join(counts, "gram").where(F.col("on") + F.col("end") >= SUPPORT)
@@ -227,14 +242,16 @@ def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, ou
     cut = shortened(grams.select(placed.alias("text")))
     spikes = length_spikes(unfinished).withColumn("at_limit", F.lit(True))
     joined = (
-        unfinished.select("_key", "group", "size", placed.alias("text"), "open").join(usual, "group").join(rates, "_key", "left")
+        unfinished.select("_key", "group", "length", "size", "_words", placed.alias("text"), "open").join(usual, ["group", "length"]).join(rates, "_key", "left")
         .join(cut, "text", "left").join(spikes, "size", "left")
     )
     prose = F.col("usual") >= 0.5
-    rare = F.coalesce(F.col("rate") < RARE_END, F.lit(False))
+    # among answers to other questions only prose breaks off: a name may well end where a sentence goes on
+    apart = F.col("length") >= 0
+    rare = F.coalesce(F.col("rate") < RARE_END, F.lit(False)) & (prose | ~apart)
     unseen = F.col("rate").isNull() & prose & (F.col("n_group") >= SUPPORT)
     unusual = F.coalesce(F.col("rate") < 0.5, F.lit(True))  # responses don't mostly go on to end here
-    extended = unusual & (F.col("within_word") | (F.col("within_word").isNotNull() & prose))
+    extended = unusual & (F.col("within_word") | (F.col("within_word").isNotNull() & prose)) & (~apart | (prose & (F.col("_words") >= 3)))
     at_limit = unusual & F.col("at_limit").isNotNull() & prose
     truncated = joined.where(rare | extended | F.col("open") | unseen | at_limit).select("_key", F.lit("truncated").alias("_t"))
     found = judged.join(truncated, "_key", "left").select(F.col("_key").alias(key), F.coalesce("_t", "defect").alias("defect"))

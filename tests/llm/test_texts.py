@@ -43,6 +43,17 @@ def test_each_kind_of_defect(spark):
     assert defects.defective_pairs(df.limit(0), "row_id", "instruction", "input", "output", "lang").count() == 0
 
 
+def test_truncation_shows_without_twins_of_the_instruction(spark):
+    dish = ["green tea", "iced latte", "lemon tart", "apple cake"]
+    whole = [f"Your {dish[i % 4]} will be ready on Monday at noon. Please keep number {i} at hand at the counter." for i in range(60)]
+    names = ["Norway", "the river Lune", "Ready on Monday", "Green tea", "Nor"] * 4
+    cut = ["Your green tea will be ready on Monday at noon. Please keep number 7 at hand at the cou", "Your lemon tart will be ready on Monday at noon. Please keep number 8", "Your iced latte will be ready on Mon"]
+    rows = [(i, f"Answer request {i}, {'abcdefghij'[i % 10]}{i}.", "x", t, "en", t in cut) for i, t in enumerate(whole + names + cut)]
+    df = spark.createDataFrame(rows, "row_id long, instruction string, input string, output string, lang string, bad boolean")
+    got = values(defects.defective_pairs(df, "row_id", "instruction", "input", "output", "lang"))
+    assert got == [(i, "truncated") for i, *_, bad in rows if bad]
+
+
 def test_shortened_texts_equal_brute_force(spark):
     rng = random.Random(6)
     texts = list({"".join(rng.choice("ab ") for _ in range(rng.randint(1, 9))).strip() for _ in range(300)} - {""})
