@@ -1,13 +1,14 @@
 """Deeply nested records to related flat tables.
 
-Each record is parsed as its batch streams by and becomes path-value-ordinal triples. Paths are grouped by their nearest
+Each record's text is read once from front to back, and every value becomes a path-value-ordinal triple as it goes by. Paths are grouped by their nearest
 repeated ancestor, and each group is pivoted into one table whose rows name their parent by (record_id, parent_pos).
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
+import re
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,53 +22,174 @@ TRIPLES = T.StructType([
     T.StructField("parent_pos", T.StringType()),
     T.StructField("ordinal", T.IntegerType()),  # order of the triple within its record
     T.StructField("path", T.StringType()),  # path below the ancestor, "" for the item itself
-    T.StructField("kind", T.StringType()),  # record, item, string, number, boolean or null
+    T.StructField("kind", T.StringType()),  # record, item, string, number, boolean, null or unread
     T.StructField("value", T.StringType()),
 ])
 BATCH_ROWS = 20_000
+UNREAD = "unread"  # kind of the single triple of a record whose text gives none; its path is the reason
+_STRING = r'"[^"\\\x00-\x1f]*(?:\\.[^"\\\x00-\x1f]*)*"'
+_BLANK = " \t\n\r"
+# a member or element (its name, then a string, number, word or opening bracket) or a closing bracket, each with the comma
+# behind it; a last group takes whatever is no JSON
+_PART = re.compile(
+    rf"(?:({_STRING})[{_BLANK}]*:[{_BLANK}]*)?(?:({_STRING})|(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w.+-]))|(true|false|null)\b|([{{\[]))[{_BLANK}]*(,?)"
+    rf"|([}}\]])[{_BLANK}]*(,?)|([^{_BLANK}])", re.ASCII
+)
+_WHOLE_STRING = re.compile(rf"[{_BLANK}]*({_STRING})[{_BLANK}]*")
+EITHER, ELEMENT, CLOSE = 0, 1, 2  # what may follow: after an opening bracket, after a comma, after an element without one
 
 
-def _items(value, fields: frozenset[str]) -> Iterator[tuple[str, object]]:
-    """(position, item) of what stands at a repeated path; null items are skipped but keep their position."""
-    if isinstance(value, list):
-        yield from ((str(i), x) for i, x in enumerate(value) if x is not None)
-    elif isinstance(value, dict):
-        keyed = all(x is None or isinstance(x, dict) for x in value.values()) and not fields.intersection(value)
-        if keyed:
-            yield from ((name, x) for name, x in value.items() if x is not None)
-        elif value:
-            yield "0", value
-    elif value is not None:
-        yield "0", value
-
-
-def _scalar(value) -> tuple[str, str | None]:
-    if value is None:
-        return "null", None
-    if isinstance(value, bool):
-        return "boolean", "true" if value else "false"
-    if isinstance(value, str):
-        return "string", value
-    return "number", json.dumps(value)
-
-
-def _walk(value, node: str, pos: str, parent: str, full: str, path: str, repeated: Mapping[str, frozenset[str]], out: list) -> None:
-    # an explicit stack, so that nesting depth is bounded by memory alone and not by the interpreter's recursion limit
-    stack = [(value, node, pos, parent, full, path)]
-    while stack:
-        value, node, pos, parent, full, path = stack.pop()
-        if full in repeated and path:
-            found = [(f"{pos}.{p}" if node else p, item) for p, item in _items(value, repeated[full])]
-            stack += [(item, full, at, pos, full, "") for at, item in reversed(found)]
+def _text(raw: str) -> str:
+    """What a quoted JSON string says; half a surrogate pair, which no column can hold, becomes a question mark."""
+    if "\\" not in raw:
+        return raw[1:-1]
+    said = json.loads(raw)
+    try:
+        said.encode()
+    except UnicodeEncodeError:
+        said = said.encode("utf-16", "surrogatepass").decode("utf-16", "replace").replace("\ufffd", "?")
+    return said
+
+
+class _Step:
+    """One step of the repeated paths: the steps below it, and for a repeated path its name and marks."""
+
+    def __init__(self):
+        self.below: dict[str, _Step] = {}
+        self.path: str | None = None
+        self.marks: frozenset[str] = frozenset()
+
+
+def _steps(repeated: Mapping[str, Iterable[str]]) -> _Step:
+    root = _Step()
+    for path, marks in repeated.items():
+        step = root
+        for name in path.replace("[]", ".[]").split("."):
+            step = step.below.setdefault(name, _Step())
+        step.path, step.marks = path, frozenset(marks)
+    return root
+
+
+def _by_member(text: str, at: int, marks: frozenset[str]) -> bool:
+    """Whether the object that opens before `at` holds an item per member, which shows by its names and kinds of values."""
+    depth = 0
+    for part in _PART.finditer(text, at):
+        name, said, number, word, opened, _, closed, _, _ = part.groups()
+        if closed:
+            if not depth:
+                return True
+            depth -= 1
+        else:
+            if not depth and (said is not None or number or word in ("true", "false") or opened == "[" or name and _text(name) in marks):
+                return False
+            depth += opened is not None
+    return True
+
+
+ITEMS, STEP, INDEX, CONTEXT, PARTS, DEPTH, NAMES, MEMBER, BEGUN = range(9)
+
+
+def record_triples(text: str, root: _Step) -> list[tuple]:
+    """(node, pos, parent_pos, path, kind, value) of one record's JSON object, or ValueError where the text is none.
+
+    The text is read once from the front with a stack of open brackets, so neither depth nor length is bounded by anything
+    but memory, and no tree is built. Of members with the same name the last one counts.
+    """
+    out: list[tuple | None] = [("", "", "", "", "record", None)]
+    add = out.append
+    stack: list[list] = []  # of each open bracket: ITEMS ... BEGUN
+    frame: list | None = None
+    may, done = EITHER, False
+    for part in _PART.finditer(text):
+        raw, said, number, word, opened, comma, closed, behind, odd = part.groups()
+        if odd or done:
+            raise ValueError("no JSON")
+        if closed:
+            if may == ELEMENT or frame is None or (frame[NAMES] is not None) != (closed == "}"):
+                raise ValueError("no JSON")
+            stack.pop()
+            frame = stack[-1] if stack else None
+            may = ELEMENT if behind else CLOSE
+            if frame is None:
+                done = True
+                if behind:
+                    raise ValueError("no JSON")
+                continue
+        elif frame is None:
+            if opened != "{" or raw or comma:
+                raise ValueError("no object")
+            frame = [False, root, -1, ("", "", ""), [], 0, {}, None, 0]
+            stack.append(frame)
             continue
-        if not path and node:
-            out.append((node, pos, parent, "", "item", None))
-        if isinstance(value, dict):
-            stack += [(x, node, pos, parent, f"{full}.{k}" if full else k, f"{path}.{k}" if path else k) for k, x in reversed(value.items())]
-        elif isinstance(value, list):
-            stack += [(x, node, pos, parent, f"{full}[]", f"{path}[{i}]") for i, x in reversed(list(enumerate(value)))]
         else:
-            out.append((node, pos, parent, path, *_scalar(value)))
+            index = frame[INDEX]
+            if may == CLOSE or (raw is None) != (index >= 0) or opened and comma:
+                raise ValueError("no JSON")
+            may = EITHER if opened else ELEMENT if comma else CLOSE
+            if index < 0:
+                label = raw[1:-1] if "\\" not in raw else _text(raw)
+                below = "." + label
+            else:
+                label = str(index)
+                below = f"[{label}]"
+                frame[INDEX] = index + 1
+            frame[MEMBER], frame[BEGUN] = label, len(out)
+            context, parts, step = frame[CONTEXT], frame[PARTS], frame[STEP]
+            items_ = frame[ITEMS]
+            if not items_:
+                del parts[frame[DEPTH] :]
+                parts.append(below)
+                if step is not None:
+                    step = step.below.get(label if index < 0 else "[]")
+                    if step is not None and step.path is not None:
+                        if opened == "[" or opened and _by_member(text, part.end(5), step.marks):
+                            frame = [True, step, 0 if opened == "[" else -1, context, parts, 0, None if opened == "[" else {}, None, 0]
+                            stack.append(frame)
+                            continue
+                        label, items_ = "0", True
+            if items_:
+                if word != "null":
+                    node, pos, _ = context
+                    context, parts = (step.path, f"{pos}.{label}" if node else label, pos), []
+                    add((*context, "", "item", None))
+            if opened:
+                frame = [False, step, 0 if opened == "[" else -1, context, parts, len(parts), None if opened == "[" else {}, None, 0]
+                stack.append(frame)
+                continue
+            if not items_ or word != "null":
+                path = "".join(parts)
+                if path and path[0] == ".":
+                    path = path[1:]
+                if said is not None:
+                    add((*context, path, "string", said[1:-1] if "\\" not in said else _text(said)))
+                elif number:
+                    add((*context, path, "number", number))
+                elif word == "null":
+                    add((*context, path, "null", None))
+                else:
+                    add((*context, path, "boolean", word))
+        # a member is complete: a scalar, or what the bracket closed
+        names = frame[NAMES]
+        if names is not None:
+            member = frame[MEMBER]
+            if member in names:
+                low, high = names[member]
+                out[low:high] = [None] * (high - low)
+            names[member] = (frame[BEGUN], len(out))
+    if not done:
+        raise ValueError("no JSON" if frame is not None else "no object")
+    return [x for x in out if x is not None]
+
+
+def _read(text: str, root: _Step) -> list[tuple]:
+    """record_triples of a text, or of the text that it holds as a JSON string; else one triple that says why there are none."""
+    try:
+        while held := _WHOLE_STRING.fullmatch(text):
+            text = _text(held.group(1))
+        return record_triples(text, root)
+    except ValueError as error:
+        reason = "blank" if not text.strip() else "no object" if str(error) == "no object" else "no JSON"
+        return [("", "", "", reason, UNREAD, None)]
 
 
 def path_triples(records: DataFrame, record_id: str, json_text: str, repeated: Mapping[str, set[str]]) -> DataFrame:
@@ -79,24 +201,19 @@ def path_triples(records: DataFrame, record_id: str, json_text: str, repeated: M
     as positions. Arrays at other paths stay columns "name[0]", "name[1]", ... of their table. The record itself has a
     triple at the node "", also where it has no members.
 
-    A null record id, null or empty text, text that is no JSON and JSON that is no object have no triples. Records are not
-    deduplicated here. Columns other than the two named are not read.
+    A record held as a JSON string that holds JSON is read like the record itself. Null or blank text, text that is no
+    JSON (NaN and the like are none) and JSON that is no object have a single triple of the kind "unread", whose path is
+    the reason: see unread(). Rows with a null record id are left out. Records are not deduplicated here. Columns other
+    than the two named are not read.
     """
-    marks = {path: frozenset(names) for path, names in repeated.items()}
+    root = _steps(repeated)
     schema = pa.schema([(f.name, pa.int32() if f.dataType == T.IntegerType() else pa.string()) for f in TRIPLES])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    value = json.loads(text)
-                except (ValueError, RecursionError):
-                    continue
-                if not isinstance(value, dict):
-                    continue
-                out: list[tuple] = [("", "", "", "", "record", None)]
-                _walk(value, "", "", "", "", "", marks, out)
+                out = [("", "", "", "null", UNREAD, None)] if text is None else _read(text, root)
                 rows += [(key, node, pos, parent, i, path, kind, x) for i, (node, pos, parent, path, kind, x) in enumerate(out)]
                 if len(rows) >= BATCH_ROWS:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -105,11 +222,16 @@ def path_triples(records: DataFrame, record_id: str, json_text: str, repeated: M
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     chosen = records.select(F.col(record_id).cast("string").alias("record_id"), F.col(json_text).alias("json"))
-    return chosen.where("record_id IS NOT NULL AND json IS NOT NULL").mapInArrow(parse, TRIPLES)
+    return chosen.where("record_id IS NOT NULL").mapInArrow(parse, TRIPLES)
+
+
+def unread(triples: DataFrame) -> DataFrame:
+    """(record_id, reason) of every record that gave no triples: null, blank, no JSON or no object."""
+    return triples.where(F.col("kind") == UNREAD).select("record_id", F.col("path").alias("reason"))
 
 
 def _leaf() -> Column:
-    return ~F.col("kind").isin("item", "record")
+    return ~F.col("kind").isin("item", "record", UNREAD)
 
 
 def items(triples: DataFrame) -> DataFrame:
@@ -130,7 +252,7 @@ def pivot_table(triples: DataFrame, node: str, columns: list[str]) -> DataFrame:
     have open member names. A column name is its path with "." and brackets turned into "_", and "value" for an item that
     is itself a leaf.
     """
-    own = triples.where(F.col("node") == node)
+    own = triples.where((F.col("node") == node) & (F.col("kind") != UNREAD))
     wanted = [F.max(F.when((F.col("path") == c) & _leaf(), F.col("value"))).alias(_column(c)) for c in columns]
     other = F.when(_leaf() & ~F.col("path").isin(columns), F.struct("path", "value"))
     rest = F.map_from_entries(F.collect_list(other)).alias("rest")

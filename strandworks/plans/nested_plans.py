@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.nested import items, latest_delivery, leaf_paths, path_triples, pivot_table
+from ..operators.nested import items, latest_delivery, leaf_paths, path_triples, pivot_table, unread
 from ..session import table
 
 # The repeated parts of an asset and the names that mark one of their items.
@@ -94,7 +94,12 @@ def p1_leaf_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaf_paths(asset_triples(spark, sf_dir).unionByName(vocabulary_triples(spark, sf_dir)))
 
 
-QUERIES = {"p1_found": p1_found, "p1_leaf_paths": p1_leaf_paths, "p1_assets": p1_assets, "p1_teams": p1_teams, "p1_team_aliases": p1_team_aliases} | {f"p1_{name}s": _part(name) for name in TABLES}
+def p1_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets whose latest delivery can't be read, by reason."""
+    return unread(asset_triples(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n_assets"), F.min("record_id").alias("least_id"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_unread": p1_unread, "p1_leaf_paths": p1_leaf_paths, "p1_assets": p1_assets, "p1_teams": p1_teams, "p1_team_aliases": p1_team_aliases} | {f"p1_{name}s": _part(name) for name in TABLES}
 
 _ITEM = """
   SELECT s.id, {pos} AS pos, e.value AS item
@@ -107,31 +112,55 @@ _ITEM = """
   WHERE json_type(e.value) <> 'NULL'"""
 
 
-def _level(source: str, pos: str, marks: set[str]) -> str:
-    listed = ", ".join(f"'{m}'" for m in sorted(marks))
-    return _ITEM.format(source=source, pos=pos, part="s.part", marks=listed)
+def _level(source: str, pos: str, marks: list[str]) -> str:
+    return _ITEM.format(source=source, pos=pos, part="s.part", marks=", ".join(f"'{m}'" for m in marks))
 
 
-def _p1_sql() -> str:
-    from_parts = dict(zip(CHILD.values(), [*ASSET_PARTS.values(), set()]))
-    return f"""
-WITH latest AS (SELECT id, arg_max(json, ingested_at) AS json FROM media_assets WHERE id IS NOT NULL GROUP BY id),
-read AS (SELECT id, CASE WHEN json_valid(json) THEN json::JSON END AS j FROM latest),
-objects AS (SELECT id, j FROM read WHERE json_type(j) = 'OBJECT'),
-windows AS ({_level("(SELECT id, json_extract(j, '$.availability.windows') AS part FROM objects)", "e.key", from_parts["window"])}),
-offers AS ({_level("(SELECT id, pos AS up, json_extract(item, '$.offers') AS part FROM windows)", "s.up || '.' || e.key", from_parts["offer"])}),
-tiers AS ({_level("(SELECT id, json_extract(j, '$.quality.tiers') AS part FROM objects)", "e.key", from_parts["tier"])}),
-renditions AS ({_level("(SELECT id, pos AS up, json_extract(item, '$.renditions') AS part FROM tiers)", "s.up || '.' || e.key", from_parts["rendition"])}),
-credits AS ({_level("(SELECT id, json_extract(j, '$.metadata.credits') AS part FROM objects)", "e.key", from_parts["credit"])}),
+# the latest delivery of each asset; a JSON text that is itself held as a JSON string is unwrapped, twice if need be
+_LEVELS = f"""
+WITH latest AS (SELECT id, arg_max({{'j': json}}, coalesce(ingested_at, '0001-01-01'::TIMESTAMP)) AS d FROM media_assets WHERE id IS NOT NULL GROUP BY id),
+read AS (SELECT id, d.j AS text, CASE WHEN json_valid(d.j) THEN d.j::JSON END AS j FROM latest),
+once AS (SELECT id, text, CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j ->> '$') THEN (j ->> '$')::JSON END ELSE j END AS j FROM read),
+twice AS (SELECT id, text, CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j ->> '$') THEN (j ->> '$')::JSON END ELSE j END AS j FROM once),
+objects AS (SELECT id, j FROM twice WHERE json_type(j) = 'OBJECT'),
+windows AS ({_level("(SELECT id, json_extract(j, '$.availability.windows') AS part FROM objects)", "e.key", ["territory", "from", "to", "offers"])}),
+offers AS ({_level("(SELECT id, pos AS up, json_extract(item, '$.offers') AS part FROM windows)", "s.up || '.' || e.key", ["kind", "price", "devices"])}),
+tiers AS ({_level("(SELECT id, json_extract(j, '$.quality.tiers') AS part FROM objects)", "e.key", ["label", "height", "hdr", "renditions"])}),
+renditions AS ({_level("(SELECT id, pos AS up, json_extract(item, '$.renditions') AS part FROM tiers)", "s.up || '.' || e.key", ["codec", "kbps"])}),
+credits AS ({_level("(SELECT id, json_extract(j, '$.metadata.credits') AS part FROM objects)", "e.key", ["name", "role"])}),
 teams_at AS (SELECT market, unnest(range(len(entities.team))) AS i, unnest(entities.team) AS team FROM entities_v1),
-aliases_at AS (SELECT market, i, unnest(range(len(team.aliases))) AS k, unnest(team.aliases) AS alias FROM teams_at)
+aliases_at AS (SELECT market, i, unnest(range(len(team.aliases))) AS k, unnest(team.aliases) AS alias FROM teams_at)"""
+
+
+def _table_sql(level: str, columns: list[str], below: str = "") -> str:
+    """One of the flat tables: named leaves as columns, the other leaves as sorted path=value, without what stands below."""
+    named = ", ".join(f"max(value) FILTER (path = '{c}') AS {''.join(x if x.isalnum() else '_' for x in c)}" for c in columns)
+    other = ", ".join(f"'{c}'" for c in columns)
+    apart = f" AND NOT regexp_matches(path, '^{below}($|[.\\[])')" if below else ""
+    parent = "regexp_replace(pos, '[.][^.]*$', '')" if level in ("offers", "renditions") else "''"
+    return f"""{_LEVELS},
+leaves AS (SELECT s.id, s.pos, ltrim(substr(t.fullkey, 2), '.') AS path, CASE WHEN t.type = 'NULL' THEN NULL ELSE t.atom ->> '$' END AS value
+  FROM {level} s, json_tree(s.item) t WHERE t.type NOT IN ('OBJECT', 'ARRAY')),
+rows AS (SELECT id, pos, {named}, string_agg(CASE WHEN value IS NULL THEN path ELSE path || '=' || value END, ';' ORDER BY path) FILTER (path NOT IN ({other}){apart}) AS rest FROM leaves GROUP BY id, pos)
+SELECT s.id AS record_id, s.pos, {parent.replace("pos", "s.pos")} AS parent_pos, r.* EXCLUDE (id, pos, rest), coalesce(r.rest, '') AS rest FROM {level} s LEFT JOIN rows r ON r.id = s.id AND r.pos = s.pos"""
+
+
+ORACLE = {
+    "p1_found": _LEVELS + """
 SELECT id AS parent_id, 'window' AS child, pos FROM windows
 UNION ALL SELECT id, 'offer', pos FROM offers
 UNION ALL SELECT id, 'tier', pos FROM tiers
 UNION ALL SELECT id, 'rendition', pos FROM renditions
 UNION ALL SELECT id, 'credit', pos FROM credits
-UNION ALL SELECT market, 'team_alias', i || '.' || k FROM aliases_at WHERE alias IS NOT NULL
-"""
-
-
-ORACLE = {"p1_found": _p1_sql()}
+UNION ALL SELECT market, 'team_alias', i || '.' || k FROM aliases_at WHERE alias IS NOT NULL""",
+    "p1_windows": _table_sql("windows", ["territory", "from", "to"], "offers"),
+    "p1_offers": _table_sql("offers", ["kind", "price.amount", "price.currency", "devices[0]", "devices[1]", "devices[2]"]),
+    "p1_tiers": _table_sql("tiers", ["label", "height", "hdr"], "renditions"),
+    "p1_renditions": _table_sql("renditions", ["codec", "kbps"]),
+    "p1_credits": _table_sql("credits", ["name", "role"]),
+    "p1_teams": "SELECT market, i::VARCHAR AS pos, id, name FROM (SELECT market, unnest(range(len(entities.team))) AS i, unnest(entities.team, recursive := true) FROM entities_v1)",
+    "p1_team_aliases": _LEVELS + " SELECT market, i || '.' || k AS pos, i::VARCHAR AS parent_pos, alias FROM aliases_at WHERE alias IS NOT NULL",
+    "p1_unread": _LEVELS + """,
+judged AS (SELECT id, CASE WHEN text IS NULL THEN 'null' WHEN trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 'blank' WHEN j IS NULL THEN 'no JSON' ELSE 'no object' END AS reason FROM twice WHERE j IS NULL OR json_type(j) <> 'OBJECT')
+SELECT reason, count(*) AS n_assets, min(id) AS least_id FROM judged GROUP BY reason""",
+}

@@ -1,8 +1,9 @@
 import json
+import random
 
 from conftest import values
 
-from strandworks.operators.nested import items, latest_delivery, leaf_paths, path_triples, pivot_table
+from strandworks.operators.nested import _steps, items, latest_delivery, leaf_paths, path_triples, pivot_table, record_triples, unread
 from strandworks.plans.nested_plans import QUERIES
 
 PARTS = {"a.windows": {"territory", "offers"}, "a.windows.offers": {"kind"}}
@@ -23,13 +24,53 @@ def test_lists_single_items_and_members(table):
 
 
 def test_what_has_no_triples(table):
-    assert found(table, None, "", "{", "[1]", '"x"', "null", "{}", '{"a": null}', '{"a": {"windows": []}}', '{"a": {"windows": {}}}') == []
+    texts = [None, "", "{", "[1]", '"x"', "null", "{}", '{"a": null}', '{"a": {"windows": []}}', '{"a": {"windows": {}}}', '{"a": NaN}', '{"a": 1,}', '{"a": 1} x', '"{"', "[" * 50]
+    assert found(table, *texts) == []
+    rows = table([(f"{i:02}", t) for i, t in enumerate(texts)], "id string, json string")
+    assert values(unread(path_triples(rows, "id", "json", PARTS)), "reason", "record_id") == [("blank", "01"), *[("no JSON", x) for x in ("02", "04", "10", "11", "12", "13")], *[("no object", x) for x in ("03", "05", "14")], ("null", "00")]
+
+
+def test_records_held_in_strings_repeated_members_and_half_characters(table):
+    inner = json.dumps({"a": {"windows": [{"territory": "DE"}, {"territory": "F\"R"}]}})
+    assert found(table, json.dumps(inner), json.dumps(json.dumps(inner))) == [(str(i), "a.windows", str(k), "") for i in range(2) for k in range(2)]
+    twice = '{"a": {"windows": [{"territory": "X"}]}, "a": {"windows": {"DE": {"offers": [{"kind": "k"}]}, "DE": {}}, "s": "\\ud800x"}}'
+    triples = path_triples(table([("r", twice)], "id string, json string"), "id", "json", PARTS)
+    assert values(triples, "node", "pos", "path", "value") == [("", "", "", None), ("", "", "a.s", "?x"), ("a.windows", "DE", "", None)]
+
+
+def test_any_text_is_read_as_the_json_reader_does():
+    rng = random.Random(3)
+
+    def made(depth=0):
+        r = rng.random()
+        if depth and (depth > 4 or r < 0.4):
+            return rng.choice([1, -2.5, 1e10, True, None, 'a"b\\é\n', "", 0])
+        if depth and r < 0.7:
+            return [made(depth + 1) for _ in range(rng.randint(0, 3))]
+        return {rng.choice("abcdef"): made(depth + 1) for _ in range(rng.randint(0, 3))}
+
+    for _ in range(3000):
+        text = json.dumps(made(), ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+        if rng.random() < 0.6:
+            k = rng.randrange(len(text))
+            text = text[:k] + rng.choice(["", ",", "}", '"', "x", "]", "1", "{", ":", "\\"]) + text[k + rng.randint(0, 1) :]
+        try:
+            wanted = isinstance(json.loads(text), dict)
+        except ValueError:
+            wanted = False
+        try:
+            read = bool(record_triples(text, _steps(PARTS)))
+        except ValueError:
+            read = False
+        assert read == wanted, text
 
 
 def test_deep_nesting_and_long_text(table):
-    deep = '{"a":' * 3000 + "1" + "}" * 3000
+    deep = '{"a":' * 100_000 + "1" + "}" * 100_000
     long = json.dumps({"a": {"windows": [{"territory": "x" * 200_000}]}})
     assert found(table, deep, long) == [("1", "a.windows", "0", "")]
+    leaf = path_triples(table([("r", deep)], "id string, json string"), "id", "json", PARTS).where("path <> ''").first()
+    assert (leaf["kind"], leaf["value"], len(leaf["path"])) == ("number", "1", 199_999)
 
 
 def test_pivot_keeps_every_leaf(table):
@@ -65,4 +106,4 @@ def test_latest_delivery_counts_once(table):
 
 def test_empty_table(table):
     empty = table([], "id string, json string")
-    assert path_triples(empty, "id", "json", PARTS).count() == 0
+    assert path_triples(empty, "id", "json", PARTS).count() == 0 and unread(path_triples(empty, "id", "json", PARTS)).count() == 0
