@@ -3,13 +3,14 @@
 Texts are brought to one spelling and cut into windows of words; a factorization machine over hashed words and word pairs
 scores every window, learning which terms matter together, such as an insult and a group. A document scores as its worst
 window. It is trained on labelled documents as bags of windows: in an abusive one the worst window is the example, in a
-clean one all are; labels that two models trained on the other half contradict firmly are set aside.
+clean one all are; labels that a machine trained on the other half contradicts firmly are set aside.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,16 +24,20 @@ from .normal import canonical, without_accents
 
 SLOTS, FACTORS = 1 << 17, 8  # hashed terms, and latent factors per term
 WINDOW, STRIDE = 14, 7  # words per window, and between windows
-TERMS = 2 * WINDOW
+TERMS = 2 * WINDOW - 1  # a window's words and neighbouring pairs
 LABELLED = 20_000  # documents the model is fitted on at most, chosen by hash
-EPOCHS, RATE = 20, 0.4
+EPOCHS, RATE, BATCH, LEAST_STEPS = 10, 0.4, 512, 8
 MISSED, SEEN = -1.5, 0.5  # raw scores at which the other half's machine contradicts a label of abuse, or of none
+RELIABLE = 0.9  # part of each kind of label that the other half's machine must agree with before it contradicts any
 TELLING = 1.0  # mean log odds of a window's terms from which it is an example by itself
+UNKNOWN = 0.1  # by how much the cut lies above the raw score of a window of unknown words, at least
+KNOWN = 1 << 19  # spellings that a worker remembers before it begins anew
 _LEET = str.maketrans("013457@$", "oieastas")
 _TAG = re.compile(r"<[^<>]{0,200}>")
 _SPACED = re.compile(r"(?<![\w'])[^\W\d_]([ .\-])(?:[^\W\d_]\1)+[^\W\d_](?![\w'])")
 _TOKEN = re.compile(r"[^\W_][\w*@$'ऀ-ॣ]*\u0f0b?|\*+\w[\w*]*", re.UNICODE)
 _SENTENCE = re.compile(r"[.!?;:\n।…]+(?=\s|$)")
+BETWEEN = "\x01"  # stands between sentences while a text is normalised
 JOINED = "\u0f0b"
 _RUN = re.compile(r"([^\W\d_])\1+")
 
@@ -54,54 +59,49 @@ def _joined(match: re.Match) -> str:
 def tokens(text: str) -> list[list[str]]:
     """Sentences as raw tokens, after removal of markup and joining of spaced-out words."""
     form = _TAG.sub(" ", text) if "<" in text else text
-    # what keeps a word from its parts is taken out first, so that spaced-out letters are seen
-    out = []
-    for sentence in _SENTENCE.split(form):
-        plain = without_accents(canonical(sentence))
-        found = _TOKEN.findall(_SPACED.sub(_joined, plain))
-        if found:
-            out.append(found)
-    return out
-
-
-def windows(sentences: list[list[str]]) -> list[list[str]]:
-    """Windows of WINDOW words, STRIDE apart, that don't cross sentences; a word alone counts only where nothing else is said."""
-    cut, told = [], [s for s in sentences if len(s) > 1]
-    sentences = told or sentences
-    for s in sentences:
-        cut += [s[i : i + WINDOW] for i in range(0, max(1, len(s) - STRIDE), STRIDE)]
-    return cut
+    # sentences are parted before normalisation, which changes their marks and line ends; what keeps a word from its parts
+    # is taken out before spaced-out letters are looked for
+    plain = _SPACED.sub(_joined, without_accents(canonical(_SENTENCE.sub(BETWEEN, form))))
+    return [found for sentence in plain.split(BETWEEN) if (found := _TOKEN.findall(sentence))]
 
 
 class Masks:
     """The words of the labelled texts, with which masked (b**d) and spaced-out (b a d) words are read."""
 
     def __init__(self, counts: Counter, pairs: Counter):
-        self.counts = Counter(dict((w, n) for w, n in counts.most_common(50_000) if "*" not in w and not w.endswith(JOINED)))
-        self.pairs = dict(pairs.most_common(100_000))
+        self.counts = Counter({w: n for w, n in counts.items() if "*" not in w and not w.endswith(JOINED)})
+        self.pairs = pairs
         self.by = defaultdict(list)
-        for word, _ in self.counts.most_common():
+        for word in sorted(self.counts):
             self.by[len(word)].append(word)
+        self.longest = max(self.by, default=0)
         self.total = sum(self.counts.values()) + 1
         self.seen: dict[str, list[str]] = {}
 
     def _fitting(self, token: str) -> list[str]:
         pattern = re.compile(re.sub(r"\\\*", ".", re.escape(token)))
-        return [w for w in self.by[len(token)] if pattern.fullmatch(w)][:50]
+        return [w for w in self.by[len(token)] if pattern.fullmatch(w)]
 
     def _split(self, text: str) -> list[str]:
         """The likeliest words whose letters in a row are the text, or the text itself."""
-        if self.counts[text] > 1 or len(text) > 60:
+        if self.counts[text] > 1:
             return [text]
-        best: list[tuple[float, list[str]] | None] = [(0.0, [])] + [None] * len(text)
+        best: list[tuple[float, int] | None] = [(0.0, 0)] + [None] * len(text)
         for end in range(1, len(text) + 1):
-            for start in range(max(0, end - 16), end):
-                n = self.counts[text[start:end]]
+            for start in range(max(0, end - self.longest), end):
+                n = self.counts.get(text[start:end])
                 if n and best[start]:
                     cost = best[start][0] - np.log(n / self.total)
                     if best[end] is None or cost < best[end][0]:
-                        best[end] = (cost, best[start][1] + [text[start:end]])
-        return best[-1][1] if best[-1] else [text]
+                        best[end] = (cost, start)
+        if not best[-1]:
+            return [text]
+        out, end = [], len(text)
+        while end:
+            start = best[end][1]
+            out.append(text[start:end])
+            end = start
+        return out[::-1]
 
     def read(self, sentence: list[str]) -> list[str]:
         """The words of a sentence's tokens: of the words that fit a mask the one most often found after the word before."""
@@ -113,7 +113,7 @@ class Masks:
                 out.append(t)
                 continue
             if t not in self.seen:
-                if len(self.seen) > 100_000:
+                if len(self.seen) > KNOWN:
                     self.seen.clear()
                 self.seen[t] = self._split(t[:-1]) if t.endswith(JOINED) else self._fitting(t)
             words = self.seen[t]
@@ -126,22 +126,58 @@ class Masks:
         return out
 
 
-def term_ids(window: list[str]) -> list[int]:
-    """Slots of a window's words and of its neighbouring pairs; slot 0 is padding."""
-    slot = lambda term: 1 + xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass")) % (SLOTS - 1)
-    return list(dict.fromkeys([slot(w) for w in window] + [slot(f"{a} {b}") for a, b in zip(window, window[1:])]))[:TERMS]
+_HASHES: dict[str, int] = {}  # of tokens this worker has seen
 
 
-def encode(text: str | None, masks: Masks) -> np.ndarray:
-    """Term slots of each distinct window of a text, padded; no rows for a text without words."""
-    if not text:
-        return np.zeros((0, TERMS), dtype=np.int32)
-    cut = dict.fromkeys(tuple(map(_word, w)) for w in windows([masks.read(x) for x in tokens(text)]))
-    out = np.zeros((len(cut), TERMS), dtype=np.int32)
-    for row, w in zip(out, cut):
-        ids = term_ids(list(w))
-        row[: len(ids)] = ids
-    return out
+def _hash(token: str) -> int:
+    found = _HASHES.get(token)
+    if found is None:
+        if len(_HASHES) > KNOWN:
+            _HASHES.clear()
+        found = _HASHES[token] = xxhash.xxh3_64_intdigest(_word(token).encode("utf-8", "surrogatepass"))
+    return found
+
+
+def encode_all(texts: Iterable[list[list[str]]]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, at): the term slots of every window of each text, given as sentences, and the text's place for each window.
+
+    A window has WINDOW words of one sentence, STRIDE apart; a sentence of one word is a window of its own. Slots are of
+    words and of neighbouring pairs, each once; slot 0 is padding.
+    """
+    hashes, lengths, owners = [], [], []
+    for place, sentences in enumerate(texts):
+        for s in sentences:
+            hashes += map(_hash, s)
+            lengths.append(len(s))
+            owners.append(place)
+    if not lengths:
+        return np.zeros((0, TERMS), np.int32), np.zeros(0, np.int64)
+    word, length = np.array(hashes, np.uint64), np.array(lengths)
+    begins = np.cumsum(length) - length
+    many = np.maximum(1, -(-(length - STRIDE) // STRIDE))
+    first = np.repeat(np.cumsum(many) - many, many)
+    offset = (np.arange(many.sum()) - first) * STRIDE
+    start, left = np.repeat(begins, many) + offset, np.repeat(length, many) - offset
+    at = start[:, None] + np.arange(WINDOW)
+    there = np.arange(WINDOW) < left[:, None]
+    own = word[np.minimum(at, len(word) - 1)]
+    with np.errstate(over="ignore"):
+        pair = own[:, :-1] * np.uint64(0x9E3779B97F4A7C15) + own[:, 1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        pair ^= pair >> np.uint64(29)
+    slots = lambda h: (h % np.uint64(SLOTS - 1) + np.uint64(1)).astype(np.int32)
+    ids = np.sort(np.concatenate([slots(own) * there, slots(pair) * there[:, 1:]], axis=1), axis=1)
+    ids[:, 1:][ids[:, 1:] == ids[:, :-1]] = 0
+    return ids, np.repeat(np.array(owners), many)
+
+
+_ROW = np.random.default_rng(1).integers(1, 1 << 62, TERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each different window once, told apart by a 64-bit hash, and how often it stands there."""
+    with np.errstate(over="ignore"):
+        _, first, n = np.unique((ids.astype(np.uint64) * _ROW).sum(1), return_index=True, return_counts=True)
+    return ids[first], n
 
 
 @dataclass
@@ -154,23 +190,40 @@ class Machine:
     masks: Masks
     cut: float = 0.0  # raw score from which a window counts as abusive
 
-    def raw(self, ids: np.ndarray) -> np.ndarray:
-        x = _values(ids)
-        v = self.factors[ids] * x[..., None]
-        return self.bias + (self.weights[ids] * x).sum(1) + 0.5 * (v.sum(1) ** 2 - (v * v).sum(1)).sum(1)
+    def raw(self, ids: np.ndarray, chunk: int = 8192) -> np.ndarray:
+        out = np.empty(len(ids), np.float32)
+        for i in range(0, len(ids), chunk):
+            out[i : i + chunk] = _forward(self, ids[i : i + chunk])[0]
+        return out
 
-    def score(self, text: str | None) -> float:
-        ids = encode(text, self.masks)
-        if not len(ids):
-            return 0.0
-        worst = max(float(self.raw(ids[i : i + 4096]).max()) for i in range(0, len(ids), 4096))
-        return float(1 / (1 + np.exp(-np.clip(worst - self.cut, -30, 30))))
+    def worst(self, texts: Iterable[list[list[str]]], n: int) -> np.ndarray:
+        """The greatest raw score of each of n texts given as sentences; -inf for a text without words."""
+        ids, at = encode_all(texts)
+        out = np.full(n, -np.inf)
+        np.maximum.at(out, at, self.raw(ids))
+        return out
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """Score of each text; texts are encoded and scored a batch at a time."""
+        out, begin, size = np.zeros(len(texts)), 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text or "")
+            if size > 2_000_000 or end == len(texts):  # a long text must not be held as windows along with many others
+                part = [[self.masks.read(s) for s in tokens(t)] if t else [] for t in texts[begin:end]]
+                worst = self.worst(part, len(part))
+                out[begin:end] = np.where(np.isfinite(worst), 1 / (1 + np.exp(-np.clip(worst - self.cut, -30, 30))), 0.0)
+                begin, size = end, 0
+        return out
 
 
-def _values(ids: np.ndarray) -> np.ndarray:
-    """Equal values of a window's terms, of length one together; padding has none."""
-    here = (ids > 0).astype(np.float32)
-    return here / np.sqrt(np.maximum(here.sum(1, keepdims=True), 1))
+def _forward(machine: Machine, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(raw score, value of each of its terms, sum of its factors) of each window; a window's values have length one together."""
+    here = ids > 0
+    x = (1 / np.sqrt(np.maximum(here.sum(1), 1))).astype(np.float32)
+    v = machine.factors[ids]  # padding's are zero
+    total = v.sum(1) * x[:, None]
+    squares = np.einsum("ntf,ntf->n", v, v) * x * x
+    return machine.bias + machine.weights[ids].sum(1) * x + 0.5 * ((total * total).sum(1) - squares), x, total
 
 
 def _first_scores(bags: list[np.ndarray], labels: np.ndarray, shrink: float = 4.0) -> np.ndarray:
@@ -184,6 +237,18 @@ def _first_scores(bags: list[np.ndarray], labels: np.ndarray, shrink: float = 4.
     return odds
 
 
+class _Batch:
+    """Windows with what a gradient step needs to know of them: their terms in order, and where each term begins."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids
+        flat = ids.ravel()
+        order = np.argsort(flat, kind="stable")
+        order = order[np.searchsorted(flat[order], 1) :]
+        self.rows = order // ids.shape[1]
+        self.used, self.begins = np.unique(flat[order], return_index=True)
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, masks: Masks, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """A machine fitted to labelled bags of windows by adaptive gradient steps on the logistic loss."""
     rng = np.random.default_rng(seed)
@@ -195,49 +260,51 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, masks: Masks, epochs: int =
         machine.bias = 6.0 if bad else -6.0
         return machine
     odds = _first_scores([x[0] for x in kept], np.array([x[1] for x in kept]))
-    negative, often = np.unique(np.concatenate([ids for ids, _ in clean]), axis=0, return_counts=True)
-    often = often.astype(np.float32)  # a clean window weighs as often as it is said
-    grown = [np.full(SLOTS, 1e-2, np.float32), np.full((SLOTS, FACTORS), 1e-2, np.float32), 1e-2]
+    negative, often = distinct(np.concatenate([ids for ids, _ in clean]))
+    # empty windows are clean: a window of unknown words must not stand near the cut
+    blank = np.zeros((1 + len(negative) // 10, TERMS), np.int32)
+    # a clean window weighs as often as it is said, the empty ones together a tenth of that
+    often = np.concatenate([often, np.full(len(blank), max(1.0, often.sum() / 10 / len(blank)))]).astype(np.float32)
+    negative = np.concatenate([negative, blank])
+    mixed = rng.permutation(len(negative))
+    negative, often = negative[mixed], often[mixed]
+    n_batches = max(min(LEAST_STEPS, len(negative)), -(-len(negative) // BATCH))
+    parts = [np.arange(i, len(negative), n_batches) for i in range(n_batches)]
+    batches = [(_Batch(negative[at]), np.zeros(len(at), np.float32), often[at]) for at in parts]
+    worst_of = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in bad])])
+    every = np.concatenate([ids for ids, _ in bad])
     # besides its worst window, windows of an abusive document whose terms speak for abuse by themselves are examples too
-    told = [(odds[ids] * (ids > 0)).sum(1) / np.maximum((ids > 0).sum(1), 1) for ids, _ in bad]
+    told = (odds[every] * (every > 0)).sum(1) / np.maximum((every > 0).sum(1), 1)
+    telling = np.flatnonzero(told >= TELLING)
+    grown = [np.full(SLOTS, 1e-2, np.float32), np.full((SLOTS, FACTORS), 1e-2, np.float32), 1e-2]
     for epoch in range(epochs):
-        picked = [np.union1d(np.flatnonzero(t >= TELLING), [int(np.argmax(t if epoch == 0 else machine.raw(ids)))]) for (ids, _), t in zip(bad, told)]
-        chosen = np.concatenate([ids[at] for (ids, _), at in zip(bad, picked)])
-        trust = np.concatenate([np.full(len(at), y, np.float32) for (_, y), at in zip(bad, picked)])
-        # empty windows are clean: a window of unknown words must not stand near the cut
-        blank = np.zeros((1 + (len(chosen) + len(negative)) // 10, TERMS), np.int32)
-        ids = np.concatenate([chosen, negative, blank])
-        y = np.concatenate([np.ones(len(chosen), np.float32), np.zeros(len(negative) + len(blank), np.float32)])
+        scores = told if epoch == 0 else machine.raw(every)
+        worst = [low + int(np.argmax(scores[low:high])) for low, high in zip(worst_of, worst_of[1:])]
+        chosen = rng.permutation(np.union1d(telling, worst))
         # abusive documents weigh as much as clean windows do, up to a limit
-        weight = np.concatenate([trust * min(8.0, max(1.0, 0.5 * often.sum() / len(chosen))), often, np.ones(len(blank), np.float32)]).astype(np.float32)
-        order = rng.permutation(len(ids))
-        for start in range(0, len(order), 256):
-            at = order[start : start + 256]
-            _step(machine, grown, ids[at], y[at], weight[at])
+        weight = np.float32(min(8.0, max(1.0, 0.5 * often.sum() / len(chosen))))
+        positives = [chosen[i : i + BATCH] for i in range(0, len(chosen), BATCH)]
+        steps = [*batches, *((_Batch(every[at]), np.ones(len(at), np.float32), np.full(len(at), weight)) for at in positives)]
+        for i in rng.permutation(len(steps)):
+            _step(machine, grown, *steps[i])
     return machine
 
 
-def _step(machine: Machine, grown: list, ids: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float = RATE, decay: float = 2e-5) -> None:
-    x = _values(ids)
-    v = machine.factors[ids] * x[..., None]
-    total = v.sum(1)
-    raw = machine.bias + (machine.weights[ids] * x).sum(1) + 0.5 * (total**2 - (v * v).sum(1)).sum(1)
+def _step(machine: Machine, grown: list, batch: _Batch, y: np.ndarray, weight: np.ndarray, rate: float = RATE, decay: float = 2e-5) -> None:
+    raw, x, total = _forward(machine, batch.ids)
     off = ((1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) * weight / len(y)).astype(np.float32)
-    used, where = np.unique(ids, return_inverse=True)
-    where = where.reshape(ids.shape)
-    gw = np.zeros(len(used), np.float32)
-    np.add.at(gw, where, off[:, None] * x)
-    gv = np.zeros((len(used), FACTORS), np.float32)
-    np.add.at(gv, where, (off[:, None, None] * x[..., None]) * (total[:, None, :] - v))
-    gw += decay * machine.weights[used]
-    gv += decay * machine.factors[used]
-    gw[used == 0], gv[used == 0] = 0, 0
+    share = off * x
+    sums = np.add.reduceat(np.concatenate([share[:, None], (share * x)[:, None], share[:, None] * total], axis=1)[batch.rows], batch.begins) if len(batch.used) else np.zeros((0, FACTORS + 2), np.float32)
+    used = batch.used
+    factors = machine.factors[used]
+    gw = sums[:, 0] + decay * machine.weights[used]
+    gv = sums[:, 2:] - sums[:, 1:2] * factors + decay * factors
     grown[0][used] += gw * gw
     grown[1][used] += gv * gv
     g = float(off.sum())
     grown[2] += g * g
     machine.weights[used] -= rate * gw / np.sqrt(grown[0][used])
-    machine.factors[used] -= rate * gv / np.sqrt(grown[1][used])
+    machine.factors[used] = factors - rate * gv / np.sqrt(grown[1][used])
     machine.bias -= rate * g / np.sqrt(grown[2])
 
 
@@ -254,35 +321,44 @@ def _best_cut(raw: np.ndarray, abusive: np.ndarray) -> float:
 def train(texts: list[str], labels: list[float], epochs: int = EPOCHS) -> Machine:
     """A machine from labelled texts (labels are shares of raters who found abuse).
 
-    With 200 texts or more, two machines fitted on a half each judge the other half, twice: labels that they contradict
-    firmly are set aside, and raters' ties are decided where they are sure. The cut lies midway between the labels that
-    were kept, as the machine fitted on them scores them.
+    Two machines fitted on a half each judge the other half, twice. Where the judging machine agrees with nearly all
+    labels of either kind, labels that it contradicts firmly are set aside, and raters' ties are decided where it is sure;
+    a machine that knows too little contradicts nothing. The cut lies midway between the labels that were kept, as the
+    machine fitted on them scores them.
     """
     counts, pairs = Counter(), Counter()
-    for t in texts:
-        for s in tokens(t or ""):
+    cut = [tokens(t or "") for t in texts]
+    for sentences in cut:
+        for s in sentences:
             counts.update(set(s))
             pairs.update(zip(["", *s], s))
     masks = Masks(counts, pairs)
-    bags, y = [encode(t, masks) for t in texts], np.array(labels, dtype=np.float32)
-    used = np.array([len(b) > 0 for b in bags], bool) if bags else np.zeros(0, bool)
-    if used.sum() < 200:
-        return fit([b for b, u in zip(bags, used) if u], y[used], masks, epochs)
-    half, clear = np.arange(len(bags)) % 2, used & ((y <= 0.25) | (y >= 0.75))
-    keep = clear.copy()
+    ids, at = encode_all([[masks.read(s) for s in x] for x in cut])
+    ends = np.searchsorted(at, np.arange(len(texts) + 1))
+    bags = [distinct(ids[low:high])[0] for low, high in zip(ends, ends[1:])]
+    given = np.array(labels, dtype=np.float32)
+    used = np.array([len(b) > 0 for b in bags], bool)
+    half, clear = np.arange(len(bags)) % 2, used & ((given <= 0.25) | (given >= 0.75))
+    y, keep = given.copy(), clear.copy()
     for again in range(2):
-        raw = np.zeros(len(bags))
+        raw, sure = np.zeros(len(bags)), np.zeros(len(bags), bool)
         for part in (0, 1):
-            other = np.flatnonzero((half != part) & keep)
+            other, judged = np.flatnonzero((half != part) & keep), np.flatnonzero((half == part) & used)
+            if not len(judged) or len(set(y[other] >= 0.5)) < 2:
+                continue
             machine = fit([bags[i] for i in other], y[other], masks, epochs, seed=7 + again)
-            for i in np.flatnonzero((half == part) & used):
-                raw[i] = machine.raw(bags[i]).max()
-        y = np.where(clear, np.array(labels, dtype=np.float32), (raw > 0).astype(np.float32))
-        wrong = ((y >= 0.5) & (raw < MISSED)) | ((y < 0.5) & (raw > SEEN))
-        keep = used & ~wrong & (clear | (np.abs(raw) > 1.0))
+            raw[judged] = [machine.raw(bags[i]).max() for i in judged]
+            told = judged[clear[judged]]
+            agreed = [np.mean((raw[told] > 0)[(given[told] >= 0.5) == kind] == kind) if ((given[told] >= 0.5) == kind).any() else 0.0 for kind in (True, False)]
+            sure[judged] = min(agreed) >= RELIABLE
+        y = np.where(clear, given, np.where(sure, raw > 0, given >= 0.5)).astype(np.float32)
+        wrong = sure & (((y >= 0.5) & (raw < MISSED)) | ((y < 0.5) & (raw > SEEN)))
+        keep = used & ~wrong & (clear | (sure & (np.abs(raw) > 1.0)))
     chosen = np.flatnonzero(keep)
-    machine = fit([bags[i] for i in chosen], y[chosen].astype(np.float32), masks, epochs)
-    machine.cut = _best_cut(np.array([machine.raw(bags[i]).max() for i in chosen]), labels_of(y[chosen]))
+    machine = fit([bags[i] for i in chosen], y[chosen], masks, epochs)
+    if len(set(y[chosen] >= 0.5)) == 2:
+        # what is known of no word must not count as abusive
+        machine.cut = max(machine.bias + UNKNOWN, _best_cut(np.array([machine.raw(bags[i]).max() for i in chosen]), labels_of(y[chosen])))
     return machine
 
 
@@ -305,6 +381,6 @@ def abuse_scores(documents: DataFrame, labels: DataFrame, key: str = "doc_id", t
 
     @F.pandas_udf(T.DoubleType())
     def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([machine.value.score(t) for t in texts], dtype="float64")
+        return pd.Series(machine.value.scores(texts.tolist()), dtype="float64")
 
     return documents.select(key, *(keep or []), scored(F.col(text)).alias("score")).withColumn("flagged", F.col("score") > threshold)

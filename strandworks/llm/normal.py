@@ -1,5 +1,5 @@
 """Text that looks the same, in one form: compatibility normalisation in composed form, mapped whitespace, no
-default-ignorable characters, look-alike letters as Latin letters, and full case folding.
+default-ignorable characters, full case folding, and look-alike letters as Latin letters.
 
 Python strings are handled per distinct value of an Arrow batch; ASCII values take a short way.
 """
@@ -7,10 +7,12 @@ Python strings are handled per distinct value of an Arrow batch; ASCII values ta
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,24 +30,74 @@ LOOKALIKES = {
 }
 _IGNORABLE = re.compile(f"[{IGNORABLE}]")
 _SPACE = re.compile(r"[\s\u0085\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_LATIN = str.maketrans({a: b for these, those in LOOKALIKES.items() for a, b in zip(these, those, strict=True)})
 _MARKS = re.compile(r"[\u0300-\u036f]")
 _NOT_WORD = re.compile(r"[\W_]+")
+_CASED = [(0x370, 0x590), (0x10A0, 0x1100), (0x13A0, 0x1400), (0x1C80, 0x1CC0), (0x2C00, 0x2E00), (0xA640, 0xA6A0), (0xAB70, 0xABC0), (0x10400, 0x10580), (0x10C80, 0x10D00), (0x118A0, 0x118E0), (0x16E40, 0x16EA0), (0x1E900, 0x1E960)]
 
 
-def look(text: str) -> str:
+class Lookalikes:
+    """Letters that look like an ASCII letter: `as_is` keeps letter case; `folded` has one Latin letter for both cases of a letter.
+
+    Of a letter whose two cases look like different Latin letters, the folded form takes what its small letter looks like.
+    """
+
+    def __init__(self, pairs: dict[str, str]):
+        self.as_is = {ord(c): x for c, x in pairs.items()}
+        self.folded: dict[int, str] = {}
+        # capitals first, so that small letters prevail
+        for c, x in sorted(pairs.items(), key=lambda p: (p[0] == p[0].casefold(), p[0])):
+            if len(c.casefold()) == 1:
+                self.folded[ord(c.casefold())] = x.casefold()
+        self.seen = re.compile("[" + "".join(re.escape(c) for c in sorted({*map(chr, self.as_is), *map(chr, self.folded)})) + "]")
+
+
+BASIC = Lookalikes({a: b for these, those in LOOKALIKES.items() for a, b in zip(these, those, strict=True)})
+
+
+@lru_cache(maxsize=1)
+def unicode_lookalikes(spark: SparkSession) -> Lookalikes:
+    """BASIC and all letters of other scripts with letter case that Unicode's table of confusables takes for an ASCII letter.
+
+    The table is the one of the ICU library that Spark brings along. The driver asks it once for the letters' skeletons.
+    """
+    letters = [chr(c) for low, high in _CASED for c in range(low, high) if unicodedata.category(chr(c))[0] == "L" and unicodedata.normalize("NFKD", chr(c)) == chr(c)]
+    ascii_ = [*string.ascii_letters]
+    icu = spark._jvm.com.ibm.icu.text.SpoofChecker
+    checker = icu.Builder().setChecks(icu.CONFUSABLE).build()
+    skeletons = checker.getSkeleton("\n".join(ascii_ + letters)).split("\n")
+    like: dict[str, list[str]] = {}
+    for x, skeleton in zip(ascii_, skeletons):
+        like.setdefault(skeleton, []).append(x)
+    found = {}
+    for c, skeleton in zip(letters, skeletons[len(ascii_) :]):
+        if skeleton in like:
+            found[c] = min(like[skeleton], key=lambda x: (x.islower() != c.islower(), x))
+    return Lookalikes(found | {chr(c): x for c, x in BASIC.as_is.items()})
+
+
+def _plain(text: str) -> str:
+    return _IGNORABLE.sub("", unicodedata.normalize("NFKC", _IGNORABLE.sub("", text)))
+
+
+def _as_latin(text: str, like: Lookalikes, table: dict[int, str]) -> str:
+    # look-alikes are mapped without their accents, then composed again
+    apart = unicodedata.normalize("NFD", text)
+    return unicodedata.normalize("NFC", apart.translate(table)) if like.seen.search(apart) else unicodedata.normalize("NFC", text)
+
+
+def look(text: str, like: Lookalikes = BASIC) -> str:
     """The form in which texts that look the same are equal; letter case, accents, digits and punctuation stay."""
     if not text.isascii():
-        text = _IGNORABLE.sub("", unicodedata.normalize("NFKC", _IGNORABLE.sub("", text)))
-        # look-alikes are mapped without their accents, then composed again
-        text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_LATIN))
+        text = _as_latin(_plain(text), like, like.as_is)
     return _SPACE.sub(" ", text).strip()
 
 
-def canonical(text: str) -> str:
-    """look(text) without differences of letter case: the form for comparison."""
-    text = look(text)
-    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text.casefold())
+def canonical(text: str, like: Lookalikes = BASIC) -> str:
+    """The form for comparison, the same for a text in capitals and in small letters: folded, look-alikes mapped, folded again."""
+    if text.isascii():
+        return _SPACE.sub(" ", text).strip().lower()
+    text = _plain(text).casefold()
+    return _SPACE.sub(" ", _as_latin(unicodedata.normalize("NFKC", text), like, like.folded).casefold()).strip()
 
 
 def without_accents(text: str) -> str:
@@ -68,21 +120,18 @@ def per_distinct(series: pd.Series, f) -> pd.Series:
     return pd.Series([None if c < 0 else done[c] for c in codes], dtype=object)
 
 
-def _udf(f):
-    @F.pandas_udf(T.StringType())
-    def mapped(series: pd.Series) -> pd.Series:
-        return per_distinct(series, f)
-
-    return mapped
+FORMS = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("look", T.StringType())])
 
 
-def look_form(column: Column) -> Column:
-    return _udf(look)(column)
+def text_forms(column: Column, like: Lookalikes = BASIC) -> Column:
+    """struct(canonical, look) of a text: the form in which it compares equal whatever its letter case, and the form that keeps it.
 
+    Both come from one pass, once per distinct value of a batch. null stays null; blank text and text of ignorable
+    characters alone become the empty string.
+    """
 
-def canonical_form(column: Column) -> Column:
-    """The one form of a text in which it compares equal to what looks the same, whatever its letter case.
+    @F.pandas_udf(FORMS)
+    def mapped(series: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"canonical": per_distinct(series, lambda x: canonical(x, like)), "look": per_distinct(series, lambda x: look(x, like))})
 
-    null stays null; blank text and text of ignorable characters alone become the empty string.
-    """
-    return _udf(canonical)(column)
+    return mapped(column)

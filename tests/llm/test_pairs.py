@@ -32,6 +32,16 @@ def test_forms_are_stable(text):
     assert normal.canonical(normal.canonical(text)) == normal.canonical(text)
 
 
+def test_one_form_for_capitals_and_small_letters(spark):
+    wide = normal.unicode_lookalikes(spark)
+    for like in (normal.BASIC, wide):
+        for word in ("МОСКВА", "ΑΘΗΝΑ", "КИНО ТВ", "ԵՐԵՎԱՆ", "ЁЖ ЙОД", "Ѳита ѵ", "STRASSE", "ΝΊΚΗ"):
+            assert normal.canonical(word, like) == normal.canonical(word.lower(), like) == normal.canonical(normal.canonical(word, like), like)
+        letters = [chr(c) for low, high in ((0x370, 0x590), (0x1C80, 0x1C90), (0x2C80, 0x2D00), (0xA640, 0xA6A0)) for c in range(low, high)]
+        assert [c for c in letters if normal.canonical(c.upper(), like) != normal.canonical(c.lower(), like)] == []
+    assert normal.look("ӀӏԌ", wide) == "Iiԍ".replace("ԍ", "G") and normal.canonical("СОР", wide) == "cop" and len(wide.as_is) > 150
+
+
 def test_lookalikes_equal_brute_force(spark):
     rng = random.Random(3)
     swaps = {"a": "аａ", "e": "е", "o": "οо", " ": "\xa0 ", "m": "ｍ"}

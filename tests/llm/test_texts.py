@@ -228,9 +228,45 @@ def test_machine_finds_held_out_abuse_in_disguise(spark):
     assert len(got) == len(rows) and abuse.abuse_scores(documents.limit(0), spark.createDataFrame(labels, "doc_id long, abusive int, text string")).count() == 0
 
 
+def test_few_or_one_sided_labels(spark):
+    documents = spark.createDataFrame([(1, "you idiot"), (2, "a fine day"), (3, None)], "doc_id long, text string")
+    for labels in ([], [(1, 1)], [(2, 0)], [(1, 1), (2, 0)]):
+        scored = {r["doc_id"]: r for r in abuse.abuse_scores(documents, spark.createDataFrame(labels, "doc_id long, abusive int")).collect()}
+        assert len(scored) == 3 and not scored[3]["flagged"]
+    assert scored[1]["flagged"] and not scored[2]["flagged"]
+
+
+def test_a_sentence_of_one_word_is_a_window(spark):
+    rng = random.Random(13)
+    names = ["Maeve", "Updated", "Decision", "Hello"]
+
+    def document(bad):
+        said = [rng.choice(CLEAN) for _ in range(rng.randint(1, 4))] + [rng.choice(names)]
+        rng.shuffle(said)
+        if bad:
+            said.insert(rng.randrange(len(said) + 1), rng.choice(["Bastard!", "Wanker", "You bastard", "total wanker you are"]))
+        return ". ".join(said) + "."
+
+    truth = [rng.random() < 0.3 for _ in range(600)]
+    rows = [(i, document(t)) for i, t in enumerate(truth)] + [(9001, "What a lovely match today. Bastard!"), (9002, "What a lovely match today. Maeve!")]
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(truth[:300])], "doc_id long, abusive int")
+    got = {r["doc_id"]: r["flagged"] for r in abuse.abuse_scores(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+    assert got[9001] and not got[9002] and sum(got[i] == truth[i] for i in range(300, 600)) >= 295
+
+
+def test_windows_of_a_batch_are_those_of_its_texts():
+    words = [a + b for a in "abcdefgh" for b in "mnrst"]
+    ids, at = abuse.encode_all([[words, ["one"]], [], [words[:8]]])
+    starts = [range(i, min(i + abuse.WINDOW, 40)) for i in (0, 7, 14, 21, 28)]
+    assert at.tolist() == [0] * 6 + [2] and [int((row > 0).sum()) for row in ids] == [2 * len(r) - 1 for r in starts] + [1, 15]
+    alone = np.concatenate([abuse.encode_all([[words, ["one"]]])[0], abuse.encode_all([[words[:8]]])[0]])
+    assert (ids == alone).all() and abuse.encode_all([])[0].shape == (0, abuse.TERMS)
+
+
 def test_spellings_are_read():
     masks = abuse.Masks(Counter({"worthless": 5, "stop": 3, "step": 9, "putting": 4, "them": 9, "you": 9, "shut": 4}), Counter({("", "stop"): 3, ("stop", "putting"): 3}))
     assert masks.read(["s**p", "p**ting", "t**m"])[:2] == ["stop", "putting"]
     assert masks.read(abuse.tokens("s h u t y o u")[0]) == ["shut", "you"]
+    assert masks.read(abuse.tokens(" ".join("shutyou" * 20))[0]) == ["shut", "you"] * 20
     assert abuse._word("idiooot") == abuse._word("1d10t") == "idiot" and abuse._word("2024") == "0"
     assert list(itertools.chain(*abuse.tokens("I can't s.t.a.n.d the h.o.u.s.e"))) == ["i", "can't", "stand" + abuse.JOINED, "the", "house" + abuse.JOINED]
