@@ -27,8 +27,9 @@ WINDOW, STRIDE = 14, 7  # words per window, and between windows
 TERMS = 2 * WINDOW - 1  # a window's words and neighbouring pairs
 LABELLED = 20_000  # documents the model is fitted on at most, chosen by hash
 EPOCHS, RATE, BATCH, LEAST_STEPS = 10, 0.4, 512, 8
+SPREAD = 256  # windows over which a gradient is averaged at most, so that an epoch moves as far whatever the batch
 MISSED, SEEN = -1.5, 0.5  # raw scores at which the other half's machine contradicts a label of abuse, or of none
-RELIABLE = 0.9  # part of each kind of label that the other half's machine must agree with before it contradicts any
+RELIABLE = 0.6  # part of each kind of label that the other half's machine must agree with before it contradicts any: raters err
 TELLING = 1.0  # mean log odds of a window's terms from which it is an example by itself
 UNKNOWN = 0.1  # by how much the cut lies above the raw score of a window of unknown words, at least
 KNOWN = 1 << 19  # spellings that a worker remembers before it begins anew
@@ -243,7 +244,7 @@ class _Batch:
     def __init__(self, ids: np.ndarray):
         self.ids = ids
         flat = ids.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat)
         order = order[np.searchsorted(flat[order], 1) :]
         self.rows = order // ids.shape[1]
         self.used, self.begins = np.unique(flat[order], return_index=True)
@@ -266,11 +267,6 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, masks: Masks, epochs: int =
     # a clean window weighs as often as it is said, the empty ones together a tenth of that
     often = np.concatenate([often, np.full(len(blank), max(1.0, often.sum() / 10 / len(blank)))]).astype(np.float32)
     negative = np.concatenate([negative, blank])
-    mixed = rng.permutation(len(negative))
-    negative, often = negative[mixed], often[mixed]
-    n_batches = max(min(LEAST_STEPS, len(negative)), -(-len(negative) // BATCH))
-    parts = [np.arange(i, len(negative), n_batches) for i in range(n_batches)]
-    batches = [(_Batch(negative[at]), np.zeros(len(at), np.float32), often[at]) for at in parts]
     worst_of = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in bad])])
     every = np.concatenate([ids for ids, _ in bad])
     # besides its worst window, windows of an abusive document whose terms speak for abuse by themselves are examples too
@@ -280,19 +276,21 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, masks: Masks, epochs: int =
     for epoch in range(epochs):
         scores = told if epoch == 0 else machine.raw(every)
         worst = [low + int(np.argmax(scores[low:high])) for low, high in zip(worst_of, worst_of[1:])]
-        chosen = rng.permutation(np.union1d(telling, worst))
+        chosen = np.union1d(telling, worst)
+        ids = np.concatenate([every[chosen], negative])
+        y = np.concatenate([np.ones(len(chosen), np.float32), np.zeros(len(negative), np.float32)])
         # abusive documents weigh as much as clean windows do, up to a limit
-        weight = np.float32(min(8.0, max(1.0, 0.5 * often.sum() / len(chosen))))
-        positives = [chosen[i : i + BATCH] for i in range(0, len(chosen), BATCH)]
-        steps = [*batches, *((_Batch(every[at]), np.ones(len(at), np.float32), np.full(len(at), weight)) for at in positives)]
-        for i in rng.permutation(len(steps)):
-            _step(machine, grown, *steps[i])
+        weight = np.concatenate([np.full(len(chosen), min(8.0, max(1.0, 0.5 * often.sum() / len(chosen))), np.float32), often])
+        order = rng.permutation(len(ids))
+        n_steps = max(min(LEAST_STEPS, len(ids)), -(-len(ids) // BATCH))
+        for at in np.array_split(order, n_steps):
+            _step(machine, grown, _Batch(ids[at]), y[at], weight[at])
     return machine
 
 
 def _step(machine: Machine, grown: list, batch: _Batch, y: np.ndarray, weight: np.ndarray, rate: float = RATE, decay: float = 2e-5) -> None:
     raw, x, total = _forward(machine, batch.ids)
-    off = ((1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) * weight / len(y)).astype(np.float32)
+    off = ((1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) * weight / min(SPREAD, len(y))).astype(np.float32)
     share = off * x
     sums = np.add.reduceat(np.concatenate([share[:, None], (share * x)[:, None], share[:, None] * total], axis=1)[batch.rows], batch.begins) if len(batch.used) else np.zeros((0, FACTORS + 2), np.float32)
     used = batch.used
@@ -324,7 +322,7 @@ def train(texts: list[str], labels: list[float], epochs: int = EPOCHS) -> Machin
     Two machines fitted on a half each judge the other half, twice. Where the judging machine agrees with nearly all
     labels of either kind, labels that it contradicts firmly are set aside, and raters' ties are decided where it is sure;
     a machine that knows too little contradicts nothing. The cut lies midway between the labels that were kept, as the
-    machine fitted on them scores them.
+    machine fitted on them scores them and, where these judged, as the halves' machines do.
     """
     counts, pairs = Counter(), Counter()
     cut = [tokens(t or "") for t in texts]
@@ -358,7 +356,9 @@ def train(texts: list[str], labels: list[float], epochs: int = EPOCHS) -> Machin
     machine = fit([bags[i] for i in chosen], y[chosen], masks, epochs)
     if len(set(y[chosen] >= 0.5)) == 2:
         # what is known of no word must not count as abusive
-        machine.cut = max(machine.bias + UNKNOWN, _best_cut(np.array([machine.raw(bags[i]).max() for i in chosen]), labels_of(y[chosen])))
+        told = labels_of(y[chosen])
+        cuts = [_best_cut(np.array([machine.raw(bags[i]).max() for i in chosen]), told)] + ([_best_cut(raw[chosen], told)] if sure[chosen].all() else [])
+        machine.cut = max(machine.bias + UNKNOWN, float(np.mean(cuts)))
     return machine
 
 
