@@ -39,24 +39,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where none is named, as in tests, a new one."""
+    """The folder that the cluster names in spark.checkpoint.dir; only a local session, as in tests, makes itself one."""
     context = spark.sparkContext
     set_ = context._jsc.sc().getCheckpointDir()
     if set_.isDefined():
         return set_.get()
-    context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandworks-"))
+    named = context.getConf().get("spark.checkpoint.dir", None)
+    if named is None:
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        named = tempfile.mkdtemp(prefix="strandworks-")
+    context.setCheckpointDir(named)
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one, deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(jpath)
+    files.deleteOnExit(jpath)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df written once as a table in the shared folder and read from there.
 
     A lost executor costs no recomputation, later reads share the work and prune columns, and unlike checkpoint() nothing
     is computed twice. The table is deleted when the driver ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_folder(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
