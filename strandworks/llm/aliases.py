@@ -1,14 +1,13 @@
 """Problem 6: values typed by people, mapped to the entry of a reference list that they mean.
 
-Distinct values are normalised and meet the list's forms in an inverted index of character n-grams; the weighted cosine of
-their n-grams selects candidates, an edit-distance check of their words confirms them, and the best is accepted if it
-leads the next entry by a margin.
+Distinct values are normalised and meet the list's forms in an inverted index of character n-grams. The weighted cosine of
+all their n-grams ranks the entries; the best is accepted if its cosine reaches a threshold and leads the next entry's by
+a margin, and if an exact check of the words against that entry's forms finds no word that means something else.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -18,10 +17,9 @@ from pyspark.sql import types as T
 from ..session import checkpointed
 from .normal import per_distinct, without_accents, words
 
-COSINE = 0.2  # least weighted cosine of a candidate
-MARGIN = 0.02  # by how much the best entry's cosine must lead that of another entry with the same number of edits
-COMMON = 0.1  # part of a value's squared weight, in its commonest n-grams, that is left out of the index join
-SALTS = 8  # parts in which the values of one n-gram are joined
+COSINE = 0.2  # least weighted cosine of an accepted entry
+MARGIN = 0.005  # by how much the best entry's cosine must lead the next entry's
+COMMON = COSINE * COSINE  # part of a value's squared weight, in its commonest n-grams, that finds no candidates by itself
 # Words that people add to a name, and ways to write the kind of an entity.
 NOISE = frozenset("the,our,my,a,an,old,new,prod,team,tv,hd,uhd,sd,4k,live,channel,get,id,for,by,of,and".split(","))
 KINDS = {"service": "svc,serv,srv,services", "workflow": "wf,flow,workflows", "endpoint": "ep,api,endpt,endpoints", "rule": "rl,rules", "policy": "pol,plcy,policies", "concept": "concepts"}
@@ -69,6 +67,41 @@ def _content(tokens: list[str]) -> list[str]:
     return [t for t in tokens if t not in NOISE and t not in _KIND]
 
 
+def _peel(joined: str, wanted: list[str]) -> tuple[str, list[str], int]:
+    """(what is left of joined words, the words not found in them, edits): words are taken off either end, the likest first.
+
+    Nothing is taken from what is no joining: a single word with less than two letters beside it. Beside a single word that
+    was taken, what is left must be told from its misspelling, so it is taken with one edit at most.
+    """
+    rest, left, total, taken = joined, list(wanted), 0, 0
+    while left:
+        best = None
+        for w in left:
+            limit = 1 if len(w) < 6 else 2
+            for length in (len(w), len(w) - 1, len(w) + 1):
+                for end in (False, True):
+                    part = rest[max(0, len(rest) - length) :] if end else rest[:length]
+                    d = edits(part, w, limit)
+                    if d <= limit and len(part) > 2 and (best is None or (d, abs(length - len(w))) < best[0]):
+                        best = ((d, abs(length - len(w))), w, rest[: max(0, len(rest) - length)] if end else rest[length:])
+        if best is None:
+            break
+        total += best[0][0]
+        taken += 1
+        left.remove(best[1])
+        rest = best[2]
+    if taken > 1 or taken == 1 and len(rest) > 1 and total <= 1:
+        return rest, left, total
+    return joined, wanted, 0
+
+
+def _spare(token: str) -> int | None:
+    """Edits that turn a token into noise or a kind, or the letters of a short one; None where it says something else."""
+    near = [edits(token, n, 1) for n in NOISE if len(n) > 1 and len(token) + len(n) > 3]
+    least = min([*near, *(edits(token, k, 1 if len(k) == 3 else 2) for k in _KIND if len(k) > 2), len(token)])
+    return least if least <= (1 if len(token) < 5 else 2) else None
+
+
 def check(value: str, form: str, known: frozenset[str]) -> int | None:
     """Number of edits that turn the value into the form, or None where it means something else.
 
@@ -83,46 +116,43 @@ def check(value: str, form: str, known: frozenset[str]) -> int | None:
         return 0 if "".join(v) == "".join(wanted) else None
     if not v or not f:
         return None
-    total, left = 0, list(f)
+    total, left, rest = 0, list(f), []
     for t in v:
-        exact = t in known
-        near = min(((d, w) for w in left if (w == t or not exact) and (d := edits(t, w, allowed(w))) <= allowed(w)), default=None)
+        near = min(((d, w) for w in left if (w == t or t not in known) and (d := edits(t, w, allowed(w))) <= allowed(w)), default=None)
         if near:
             total += near[0]
             left.remove(near[1])
-            continue
-        if exact:
-            total = None
-            break
-        # what is left may be noise or a kind with a slip, or a single letter
-        near_noise = [edits(t, n, 1) for n in NOISE if len(n) > 1 and len(t) + len(n) > 3]
-        spare = min([*near_noise, *(edits(t, k, 1 if len(k) == 3 else 2) for k in _KIND if len(k) > 2), len(t)])
-        if spare > (1 if len(t) < 5 else 2):
-            total = None
-            break
-        total += spare
-    if total is not None and not left:
-        return total
-    if len(v) >= len(f) or len(f) > 4:
+        else:
+            rest.append(t)
+    if left and rest:  # words that were typed as one, or one that was typed in parts
+        over, found = [], left
+        for t in rest:
+            remains, still, d = _peel(t, found) if t not in known else (t, found, 0)
+            if len(still) < len(found):
+                found, total = still, total + d
+                over += [remains] if remains else []
+            else:
+                over.append(t)
+        if found and len(over) > 1:
+            remains, still, d = _peel("".join(over), found)
+            if len(still) < len(found):
+                found, over, total = still, [remains] if remains else [], total + d
+        left, rest = found, over
+    if left:
         return None
-    whole = "".join(typed)
-    tries = {whole, "".join(v)} | {whole[: -len(n)] for n in NOISE | set(_KIND) if len(n) > 1 and whole.endswith(n)}
-    best = None
-    for goal in {"".join(wanted), *("".join(order) for order in permutations(f))}:
-        for kind in ("", *(w for w in wanted if w in _KIND)):
-            for target in {goal + kind, kind + goal}:
-                limit = max(1, len(target) // 6)
-                for one in tries:
-                    d = edits(one, target, limit)
-                    if d <= limit and (best is None or d < best):
-                        best = d
-    return best
+    for t in rest:
+        spare = None if t in known else _spare(t)
+        if spare is None and not (t in NOISE or t in _KIND):
+            return None
+        total += spare or 0
+    return total
 
 
 def grams(form: str) -> list[str]:
-    """Character pairs and triples of each word with its ends marked; kinds are written one way and noise is left out."""
-    marked = [f"^{_KIND.get(t, t)}$" for t in form.split() if t not in NOISE]
-    return sorted({w[i : i + n] for w in marked for n in (2, 3) for i in range(len(w) - n + 1)})
+    """Character pairs and triples of each word with its ends marked, and runs of three and four letters of the words joined."""
+    marked, joined = [f"^{t}$" for t in form.split()], "".join(form.split())
+    inside = {w[i : i + n] for w in marked for n in (2, 3) for i in range(len(w) - n + 1)}
+    return sorted(inside | {"~" + joined[i : i + n] for n in (3, 4) for i in range(len(joined) - n + 1)})
 
 
 @F.pandas_udf(T.StringType())
@@ -145,32 +175,41 @@ def reference_forms(entries: DataFrame) -> DataFrame:
     return entries.where("entity IS NOT NULL AND name IS NOT NULL").select("list", "entity", _forms("name").alias("form")).where("form <> ''").distinct()
 
 
-def candidates(values: DataFrame, forms: DataFrame, cosine: float = COSINE, common: float = COMMON, salts: int = SALTS) -> DataFrame:
-    """(list, value, entity, form, cosine) of every value and form whose weighted n-grams agree at least that much.
+def candidates(values: DataFrame, forms: DataFrame, cosine: float = COSINE, margin: float = MARGIN) -> DataFrame:
+    """(list, value, entity, form, cosine) of the forms that may be a value's best or next best, with the cosine of all n-grams.
 
-    An n-gram weighs by how few forms of its list have it. Of each value the commonest n-grams, up to `common` of its
-    squared weight, count as different: they would meet most forms and tell least. The index is joined in salts, because
-    one n-gram may be in a third of all values; no list of candidates is capped.
+    An n-gram weighs by how few forms of its list have it, or how few values if that weighs less: what people add to any
+    name tells little. Pairs meet on all n-grams of a value but its commonest ones, which hold COMMON of its squared
+    weight. That loses nothing: by the inequality of Cauchy and Schwarz the others can add no more than the root of COMMON
+    to a cosine, so who meets on none of the rest stays below the threshold, and only pairs that fall short of the value's
+    best by more are left out before the cosine is computed in full. No list of candidates is capped.
     """
-    counts = forms.groupBy("list").agg(F.count("*").alias("n_forms"))
+    slack = COMMON**0.5
     known = forms.withColumn("fid", F.xxhash64("list", "entity", "form"))
+    asked = values.withColumn("vid", F.xxhash64("list", "value"))
+    sizes = forms.groupBy("list").agg(F.count("*").alias("n_forms")).join(values.groupBy("list").agg(F.count("*").alias("n_values")), "list")
     posted = known.select("list", "fid", F.explode(_grams("form")).alias("gram"))
-    spread = posted.groupBy("list", "gram").agg(F.count("*").alias("df")).join(counts, "list").select("list", "gram", F.log(1 + F.col("n_forms") / F.col("df")).alias("w"))
+    typed = checkpointed(asked.select("list", "vid", F.explode(_grams("value")).alias("gram")))
+    both = posted.select("list", "gram", F.lit(1).alias("f"), F.lit(0).alias("v")).unionByName(typed.select("list", "gram", F.lit(0).alias("f"), F.lit(1).alias("v")))
+    spread = both.groupBy("list", "gram").agg(F.sum("f").alias("df"), F.sum("v").alias("dv")).join(sizes, "list")
+    weight = F.least(F.log(1 + F.col("n_forms") / F.greatest("df", F.lit(1))), F.log(1 + F.col("n_values") / F.greatest("dv", F.lit(1))))
+    weights = checkpointed(spread.select("list", "gram", weight.alias("w"), (F.col("df") > 0).alias("listed")))
     whole = Window.partitionBy("fid")
-    indexed = posted.join(spread, ["list", "gram"]).select("list", "gram", "fid", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole))).alias("wf"))
-    asked = values.withColumn("vid", F.xxhash64("list", "value"))
-    # an n-gram that no form has weighs as one that a single form has
-    weighed = asked.select("list", "vid", F.explode(_grams("value")).alias("gram")).join(counts, "list").join(spread, ["list", "gram"], "left").select("list", "vid", "gram", F.coalesce("w", F.log(1 + F.col("n_forms"))).alias("wq"))
-    square, own = F.col("wq") * F.col("wq"), Window.partitionBy("vid")
-    upto = own.orderBy("wq", "gram").rowsBetween(Window.unboundedPreceding, 0)
-    scaled = weighed.withColumn("_all", F.sum(square).over(own)).withColumn("_upto", F.sum(square).over(upto)).where(F.col("_upto") > common * F.col("_all"))
-    salted = scaled.select("list", "vid", "gram", (F.col("wq") / F.sqrt("_all")).alias("wq"), F.pmod("vid", F.lit(salts)).cast("int").alias("salt"))
-    copies = indexed.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    dots = salted.join(copies, ["list", "gram", "salt"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("cosine")).where(F.col("cosine") >= cosine)
-    return dots.join(asked, "vid").join(known.drop("list"), "fid").select("list", "value", "entity", "form", "cosine")
-
-
-def map_values(entries: DataFrame, reference: DataFrame, margin: float = MARGIN) -> DataFrame:
+    indexed = checkpointed(posted.join(weights, ["list", "gram"]).select("list", "gram", "fid", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole))).alias("wf")))
+    square, own = F.col("w") * F.col("w"), Window.partitionBy("vid")
+    upto = own.orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0)
+    scaled = typed.join(weights, ["list", "gram"]).withColumn("_all", F.sum(square).over(own)).withColumn("_upto", F.sum(square).over(upto))
+    scaled = checkpointed(scaled.select("list", "vid", "gram", "listed", (F.col("w") / F.sqrt("_all")).alias("wq"), (F.col("_upto") > COMMON * F.col("_all")).alias("meets")))
+    dots = scaled.where("meets AND listed").join(indexed, ["list", "gram"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("part"))
+    best = F.max("part").over(Window.partitionBy("vid"))
+    near = checkpointed(dots.withColumn("_best", best).where(F.col("part") + slack >= F.greatest(F.lit(cosine), F.col("_best") - margin)).select("vid", "fid", "part"))
+    common = scaled.where("listed AND NOT meets").select("vid", "gram", "wq")
+    rest = near.select("vid", "fid").join(common, "vid").join(indexed.select("fid", "gram", "wf"), ["fid", "gram"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("rest"))
+    full = near.join(rest, ["vid", "fid"], "left").select("vid", "fid", (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("cosine")).where(F.col("cosine") >= cosine)
+    return full.join(asked, "vid").join(known.drop("list"), "fid").select("list", "value", "entity", "form", "cosine")
+
+
+def map_values(entries: DataFrame, reference: DataFrame, cosine: float = COSINE, margin: float = MARGIN) -> DataFrame:
     """(entry_id, entity_id, cosine, edits) of every entry; entity_id is "none" where the value means nothing in its list.
 
     entries has entry_id, list and entered; reference has list, entity and name, with a row for each way to name an entity.
@@ -183,11 +222,10 @@ def map_values(entries: DataFrame, reference: DataFrame, margin: float = MARGIN)
     vocabulary = forms.select("list", F.explode(F.split("form", " ")).alias("token")).distinct()
     tokens = values.select("list", "value", F.explode(F.split("value", " ")).alias("token"))
     known = tokens.join(vocabulary, ["list", "token"]).groupBy("list", "value").agg(F.collect_set("token").alias("known"))
-    near = candidates(values, forms).join(known, ["list", "value"], "left").withColumn("edits", _check("value", "form", "known")).where("edits IS NOT NULL")
-    best = near.groupBy("list", "value", "entity").agg(F.min(F.struct("edits", -F.col("cosine"))).alias("b"))
-    ranked = best.select("list", "value", "entity", F.col("b.edits").alias("edits"), (-F.col("b.col2")).alias("cosine"))
-    order = Window.partitionBy("list", "value").orderBy("edits", F.desc("cosine"), "entity")
-    led = ranked.withColumn("place", F.row_number().over(order)).withColumn("next_edits", F.lead("edits").over(order)).withColumn("next_cosine", F.lead("cosine").over(order)).where("place = 1")
-    clear = F.col("next_edits").isNull() | (F.col("next_edits") > F.col("edits")) | (F.col("cosine") - F.col("next_cosine") >= margin)
-    meant = led.where(clear).select("list", "value", F.col("entity").alias("entity_id"), "cosine", "edits")
+    near = candidates(values, forms, cosine, margin).groupBy("list", "value", "entity").agg(F.max("cosine").alias("cosine"))
+    order = Window.partitionBy("list", "value").orderBy(F.desc("cosine"), "entity")
+    ranked = near.withColumn("place", F.row_number().over(order)).withColumn("next", F.lead("cosine").over(order)).where("place = 1")
+    led = ranked.where(F.col("next").isNull() | (F.col("cosine") - F.col("next") >= margin)).select("list", "value", "entity", "cosine")
+    checked = led.join(forms, ["list", "entity"]).join(known, ["list", "value"], "left").withColumn("edits", _check("value", "form", "known")).where("edits IS NOT NULL")
+    meant = checked.groupBy("list", "value").agg(F.first("entity").alias("entity_id"), F.first("cosine").alias("cosine"), F.min("edits").alias("edits"))
     return own.join(meant, ["list", "value"], "left").select("entry_id", F.coalesce("entity_id", F.lit(NONE)).alias("entity_id"), "cosine", "edits")

@@ -87,6 +87,35 @@ def test_values_are_mapped_or_reported(spark):
     assert aliases.map_values(df.limit(0), spark.createDataFrame(reference, "list string, entity string, name string")).count() == 0
 
 
+def test_no_candidate_is_lost_against_brute_force(spark):
+    rng = random.Random(14)
+    words = ["fraud", "waiver", "lending", "refund", "sampling", "service", "rule", "payroll", "expiry", "archive"]
+    forms = sorted({" ".join(rng.sample(words, rng.randint(1, 3))) for _ in range(60)})
+    typed = sorted({"".join(c for c in rng.choice(forms) if rng.random() > 0.1) for _ in range(120)} - {""})
+    forms_df = spark.createDataFrame([("c", f"e{i}", f) for i, f in enumerate(forms)], "list string, entity string, form string")
+    got = defaultdict(dict)
+    for r in aliases.candidates(spark.createDataFrame([("c", v) for v in typed], "list string, value string"), forms_df).collect():
+        got[r["value"]][r["form"]] = r["cosine"]
+    df, dv = (Counter(g for t in texts for g in aliases.grams(t)) for texts in (forms, typed))
+    weight = lambda g: min(np.log(1 + len(forms) / max(1, df[g])), np.log(1 + len(typed) / max(1, dv[g])))
+    unit = lambda t: {g: weight(g) / np.sqrt(sum(weight(x) ** 2 for x in aliases.grams(t))) for g in aliases.grams(t)}
+    listed = {f: unit(f) for f in forms}
+    for v in typed:
+        own = unit(v)
+        cosines = sorted(((sum(w * u.get(g, 0) for g, w in own.items()), f) for f, u in listed.items()), reverse=True)
+        best = cosines[0][0]
+        for c, f in cosines:
+            if c >= max(aliases.COSINE, best - aliases.MARGIN) + 1e-9:
+                assert abs(got[v][f] - c) < 1e-9
+
+
+def test_words_typed_as_one_in_any_order():
+    known = frozenset()
+    assert aliases.check("expirypayrolllendingarchivefraud", "archive expiry for fraud lending payroll", known) == 0
+    assert aliases.check("payrolexpiri archivefraudlending", "archive expiry fraud lending payroll", known) is not None
+    assert aliases.check("poltava movies", "ostrava movies", known) is None and aliases.check("ostravatv movies", "ostrava movies", known) == 0
+
+
 def test_edit_distance_counts_transpositions():
     assert aliases.edits("movies", "mvoies", 2) == 1 and aliases.edits("abc", "abcd", 2) == 1 and aliases.edits("abc", "xyz", 2) == 3 and aliases.edits("", "ab", 1) == 2
 
