@@ -20,6 +20,7 @@ from .normal import per_distinct, without_accents, words
 COSINE = 0.2  # least weighted cosine of an accepted entry
 MARGIN = 0.005  # by how much the best entry's cosine must lead the next entry's
 COMMON = COSINE * COSINE  # part of a value's squared weight, in its commonest n-grams, that finds no candidates by itself
+INDEX_ROWS = 500_000  # rows of the index, each under a hundred bytes, up to which it is broadcast
 # Words that people add to a name, and ways to write the kind of an entity.
 NOISE = frozenset("the,our,my,a,an,old,new,prod,team,tv,hd,uhd,sd,4k,live,channel,get,id,for,by,of,and".split(","))
 KINDS = {"service": "svc,serv,srv,services", "workflow": "wf,flow,workflows", "endpoint": "ep,api,endpt,endpoints", "rule": "rl,rules", "policy": "pol,plcy,policies", "concept": "concepts"}
@@ -200,11 +201,13 @@ def candidates(values: DataFrame, forms: DataFrame, cosine: float = COSINE, marg
     upto = own.orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0)
     scaled = typed.join(weights, ["list", "gram"]).withColumn("_all", F.sum(square).over(own)).withColumn("_upto", F.sum(square).over(upto))
     scaled = checkpointed(scaled.select("list", "vid", "gram", "listed", (F.col("w") / F.sqrt("_all")).alias("wq"), (F.col("_upto") > COMMON * F.col("_all")).alias("meets")))
-    dots = scaled.where("meets AND listed").join(indexed, ["list", "gram"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("part"))
+    # an index of few rows goes to where the values are, so that pairs need no shuffle; a larger one is joined by n-gram
+    index = F.broadcast(indexed) if indexed.count() <= INDEX_ROWS else indexed
+    dots = scaled.where("meets AND listed").select("list", "vid", "gram", "wq").repartition("vid").join(index, ["list", "gram"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("part"))
     best = F.max("part").over(Window.partitionBy("vid"))
     near = checkpointed(dots.withColumn("_best", best).where(F.col("part") + slack >= F.greatest(F.lit(cosine), F.col("_best") - margin)).select("vid", "fid", "part"))
-    common = scaled.where("listed AND NOT meets").select("vid", "gram", "wq")
-    rest = near.select("vid", "fid").join(common, "vid").join(indexed.select("fid", "gram", "wf"), ["fid", "gram"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("rest"))
+    common = scaled.where("listed AND NOT meets").select("list", "vid", "gram", "wq")
+    rest = near.select("vid", "fid").join(common, "vid").join(index, ["list", "gram", "fid"]).groupBy("vid", "fid").agg(F.sum(F.col("wq") * F.col("wf")).alias("rest"))
     full = near.join(rest, ["vid", "fid"], "left").select("vid", "fid", (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("cosine")).where(F.col("cosine") >= cosine)
     return full.join(asked, "vid").join(known.drop("list"), "fid").select("list", "value", "entity", "form", "cosine")
 
