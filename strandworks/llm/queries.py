@@ -31,11 +31,17 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.least("train_id", "eval_id").alias("example_a"), F.greatest("train_id", "eval_id").alias("example_b"))
 
 
+def p2_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlapping example of either side: its overlaps and the greatest coverage."""
+    found = p2_overlaps(spark, sf_dir)
+    each = found.select(F.explode(F.array("train_id", "eval_id")).alias("example_id"), "coverage")
+    return each.groupBy("example_id").agg(F.count("*").alias("n_overlaps"), F.round(F.max("coverage"), 4).alias("coverage"))
+
+
 def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping evaluation examples, pairs and mean best coverage per split and source."""
-    best = p2_overlaps(spark, sf_dir).groupBy(F.col("eval_id").alias("example_id")).agg(F.count("*").alias("pairs"), F.max("coverage").alias("best"))
-    rows = table(spark, sf_dir, "enterprise_examples").where("split <> 'train'").select("example_id", "split", "source").join(best, "example_id", "left")
-    return rows.groupBy("split", "source").agg(F.count("*").alias("n_examples"), F.count("pairs").alias("n_overlapping"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("n_pairs"), F.round(F.avg("best"), 4).alias("mean_coverage"))
+    """Examples, overlapping examples, their overlaps and mean coverage per split and source, the training split included."""
+    rows = table(spark, sf_dir, "enterprise_examples").select("example_id", "split", "source").join(p2_coverage(spark, sf_dir), "example_id", "left")
+    return rows.groupBy("split", "source").agg(F.count("*").alias("n_examples"), F.count("n_overlaps").alias("n_overlapping"), F.coalesce(F.sum("n_overlaps"), F.lit(0)).alias("n_overlaps"), F.round(F.avg("coverage"), 4).alias("mean_coverage"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,5 +150,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.col("flagged").cast("long")).alias("n_flagged"), F.round(F.avg(F.col("flagged").cast("double")), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_coverage": p2_coverage, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}

@@ -172,11 +172,14 @@ def split_classes(records: DataFrame, key: str, split: str, text: str, facts: st
 
 def class_overlaps(classes: DataFrame, least: float = COVERAGE) -> DataFrame:
     """(class_a, class_b, coverage): classes with training records and classes with evaluation records that are the same or nearly so."""
-    cut = classes.withColumn("s", F.explode(_fingerprints("words"))).select("class", "facts", "with_train", "with_eval", "s.fp", "s.pos")
+    # only facts that stand in classes of both sides, and in more than one class, can overlap: nothing else is cut
+    sides = classes.groupBy("facts").agg(F.max("with_train").alias("_t"), F.max("with_eval").alias("_e"), F.count("*").alias("_n")).where("_t AND _e AND _n > 1")
+    shared = checkpointed(classes.join(sides.select("facts"), "facts", "left_semi").select("class", "facts", "with_train", "with_eval", "words"))
+    cut = shared.withColumn("s", F.explode(_fingerprints("words"))).select("class", "facts", "with_train", "with_eval", "s.fp", "s.pos")
     a = cut.where("with_train").select("facts", "fp", F.col("class").alias("class_a"), F.col("pos").alias("pa"))
     b = cut.where("with_eval").select("facts", "fp", F.col("class").alias("class_b"), F.col("pos").alias("pb"))
     seeds = a.join(b, ["facts", "fp"]).where("class_a <> class_b").groupBy("class_a", "class_b").agg(F.collect_list(F.struct("pa", "pb")).alias("seeds"))
-    texts = classes.select("class", "words")
+    texts = shared.select("class", "words")
     both = seeds.join(texts.select(F.col("class").alias("class_a"), F.col("words").alias("wa")), "class_a").join(texts.select(F.col("class").alias("class_b"), F.col("words").alias("wb")), "class_b")
     near = both.withColumn("c", _coverage("wa", "wb", "seeds")).select("class_a", "class_b", F.least("c.a", "c.b").alias("coverage")).where(F.col("coverage") >= least)
     same = classes.where("with_train AND with_eval").select(F.col("class").alias("class_a"), F.col("class").alias("class_b"), F.lit(1.0).alias("coverage"))
