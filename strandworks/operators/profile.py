@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,3 +79,19 @@ def warnings(profiled: DataFrame, leaks: DataFrame, balance: DataFrame) -> DataF
         F.when(F.col("imbalanced"), F.lit("class imbalance above 5.0")),
     )
     return one.select(F.posexplode(listed).alias("place", "warning")).where("warning IS NOT NULL")
+
+
+def dataset_id(source: str, schema: str, config: dict) -> str:
+    """The id of a dataset: 16 hex digits over its source, its schema and the configuration with sorted names, parted by "::"."""
+    return hashlib.sha256(f"{source}::{schema}::{json.dumps(config, sort_keys=True)}".encode()).hexdigest()[:16]
+
+
+def content_hash(rows: DataFrame, *columns: str) -> str:
+    """A hash of a table's rows, whatever their order, as the source of dataset_id where it is too large to be one text.
+
+    Each task adds up its rows' 256-bit hashes in four parts of 64 bits, so a row that is there twice counts twice.
+    """
+    said = F.sha2(F.to_json(F.struct(*(columns or rows.columns)), {"ignoreNullFields": "false"}), 256)
+    parts = [F.sum(F.conv(F.substring(said, 16 * i + 1, 16), 16, 10).cast("decimal(20,0)")).alias(f"p{i}") for i in range(4)]
+    sums = rows.agg(F.count("*").alias("n"), *parts).first()
+    return hashlib.sha256("|".join(str(int(x or 0)) for x in sums).encode()).hexdigest()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as r
 from ..functions.text import semver
-from ..operators import decide, evaluate
+from ..operators import decide, evaluate, toolcalls
 from ..session import table
 from .sql import listed
 
@@ -15,9 +15,7 @@ POLICY = ["authorized_only", "require_citations"]
 GATES = [("schema_valid_rate", ">=", 0.98), ("intent_accuracy", ">=", 0.2), ("relationship_exact_accuracy", ">=", 0.001), ("unsafe_action_rate", "<=", 0.5), ("unsupported_claim_rate", "<=", 0.02), ("no_such_metric", ">=", 0.5)]
 
 
-def _tools(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The approved tools: a small dimension."""
-    return [x[0] for x in table(spark, sf_dir, "enterprise_examples").select(F.get_json_object("action", "$.tool_call.tool").alias("t")).where("t < 'm'").distinct().orderBy("t").limit(100).collect()]
+APPROVED = ["get_batch_health", "get_case_status", "get_change_summary"]  # the tools that actions may call
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +26,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.compared(_pairs(spark, sf_dir), "expected", "predicted", _tools(spark, sf_dir), POLICY)
+    return evaluate.compared(_pairs(spark, sf_dir), "expected", "predicted", APPROVED, POLICY)
 
 
 def action_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,22 +98,26 @@ def toolcall_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_json_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first JSON object of each answer, wrapped in chatter; rows whose object comes back unchanged are counted."""
-    rows = table(spark, sf_dir, "sft_rows").where("startswith(output, '{')").select("row_id", "output", r.first_json_object_of(F.concat(F.lit("Sure: "), "output", F.lit(" }{ done"))).alias("found"))
+    rows = table(spark, sf_dir, "sft_rows").select("row_id", "output", r.first_json_object_of(F.concat(F.lit("Sure: "), "output", F.lit(" }{ done"))).alias("found"))
     return rows.select("row_id", F.col("found").eqNullSafe(F.col("output")).alias("unchanged"), F.expr("try_parse_json(found) IS NOT NULL").alias("readable"))
 
 
 def _questions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every event as a question and as a result; some have an id of their own, so that questions lack results and results questions."""
     events = table(spark, sf_dir, "events")
     kind = F.element_at(F.array(*[F.lit(k) for k in ("choice", "score", "boolean")]), (F.col("event_id") % 3 + 1).cast("int"))
-    questions = events.where("event_id % 50 <> 7").select(F.concat(F.lit("q"), "event_id").alias("question_id"), kind.alias("kind"), (F.col("event_id") % 4).alias("n_options"))
-    results = events.where("event_id % 60 <> 11").select(F.concat(F.lit("q"), "event_id").alias("question_id"), F.when(F.col("event_id") % 77 == 0, "score").otherwise(kind).alias("kind"), F.round(F.col("value") / 100, 4).alias("confidence"), F.round(F.col("value") / 200, 4).alias("value"), F.when(F.col("event_type") == "error", "rejected").otherwise("accepted").alias("status"))
+    asked = F.concat(F.when(F.col("event_id") % 50 == 7, "u").otherwise("q"), "event_id")
+    answered = F.concat(F.when(F.col("event_id") % 60 == 11, "r").otherwise("q"), "event_id")
+    questions = events.select(asked.alias("question_id"), kind.alias("kind"), (F.col("event_id") % 4).alias("n_options"))
+    results = events.select(answered.alias("question_id"), F.when(F.col("event_id") % 77 == 0, "score").otherwise(kind).alias("kind"), F.round(F.col("value") / 100, 4).alias("confidence"), F.round(F.col("value") / 200, 4).alias("value"), F.when(F.col("event_type") == "error", "rejected").otherwise("accepted").alias("status"))
     return questions, results
 
 
 def decision_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routes of decisions, by threshold and target; every fifth question has a policy."""
     _, results = _questions(spark, sf_dir)
-    policies = table(spark, sf_dir, "events").where("event_id % 5 = 0").select(F.concat(F.lit("q"), "event_id").alias("question_id"), F.round(F.col("user_id") % 10 / 10, 1).alias("threshold"), F.lit("review_desk").alias("target"))
+    ruled = F.col("event_id") % 5 == 0
+    policies = table(spark, sf_dir, "events").select(F.concat(F.lit("q"), "event_id").alias("question_id"), F.when(ruled, F.round(F.col("user_id") % 10 / 10, 1)).alias("threshold"), F.when(ruled, F.lit("review_desk")).alias("target"))
     return decide.route(results, policies).groupBy("route", "threshold", "target").agg(F.count("*").alias("n"))
 
 
@@ -128,6 +130,41 @@ def ext_threshold_at_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decide.threshold_at_precision(rows, "event_type", "score", "correct", 0.8)
 
 
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An expected call or refusal and its prediction for every event; predictions differ in ways that the rules must tell apart."""
+    event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    reminder = lambda hour: F.concat(F.lit("<schedule_notification>{title:T"), user, F.lit(",message:Call about "), kind, F.lit(", then wait,hour:"), hour, F.lit(",minute:"), event % 60, F.lit(",repeat_daily:true}</schedule_notification>"))
+    query = lambda q: F.concat(F.lit("<query_lifetrack_status>{query:"), q, F.lit("}</query_lifetrack_status>"))
+    route = lambda target: F.concat(F.lit("<open_route>{target:"), target, F.lit("}</open_route>"))
+    refusal = F.lit("I cannot do that.")
+    pick = lambda *x: F.when(event % 4 == 0, x[0]).when(event % 4 == 1, x[1]).when(event % 4 == 2, x[2]).otherwise(x[3])
+    hour = (event % 24).cast("string")
+    expected = pick(reminder(hour), query(F.concat(kind, F.lit(" of "), user)), route(F.concat(F.lit("R"), user)), refusal)
+    padded = pick(reminder(F.lpad(hour, 2, "0")), query(F.upper(kind)), route(F.concat(F.lit("r"), user)), F.lit("Sorry, no."))
+    other = pick(reminder((event % 24 + 1).cast("string")), query(F.lit("weather")), route(F.lit("elsewhere")), route(F.lit("home")))
+    predicted = F.when(event % 7 == 0, refusal).when(event % 5 == 0, padded).when(event % 11 == 0, other).when(event % 13 == 0, F.lit(None)).otherwise(expected)
+    return table(spark, sf_dir, "events").select("event_id", expected.alias("expected"), predicted.alias("said"))
+
+
+def toolcall_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.tool_metrics(toolcalls.compared(_calls(spark, sf_dir), "expected", "said"))
+
+
+def toolcall_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.gates(toolcall_metrics(spark, sf_dir), toolcalls.GATES)
+
+
+def toolcall_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.per_tool_counts(toolcalls.compared(_calls(spark, sf_dir), "expected", "said"))
+
+
+def predictions_by_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source, the rows and how many of them equal the last output given for their input."""
+    rows = table(spark, sf_dir, "sft_rows")
+    joined = toolcalls.last_predictions(rows.select("row_id", "source", "input", "output"), rows, "input", "row_id", "output")
+    return joined.groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("output").eqNullSafe(F.col("predicted"))).alias("n_equal"))
+
+
 TASKS = [("t1", "decision", 3000, "cpu", 0.0), ("t2", "decision", 10, "cpu", 0.0), ("t3", "retrieval", 10, "cuda", 6.0), ("t4", "generation", 10, "apple_silicon", 0.0), ("t5", "generation", 10, "cuda", 8.0), ("t6", "generation", 10, "cuda", 24.0), ("t7", "generation", 10, "cpu", 0.0)]
 BASELINES = [("t1", 0, "rule", 0.7, 5.0), ("t2", 0, "prompt", 0.9, 420.0), ("t2", 1, "rule", 0.86, 6.0), ("t7", 0, "prompt", 0.95, 90.0)]
 
@@ -178,7 +215,7 @@ def model_rule_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy(taken.alias("taken")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (action_contract, enterprise_metrics, error_taxonomy, error_samples, requirement_gates, requirements_passed, requirement_config_errors, label_counts_with_zeros, rule_baseline, ext_macro_f1, toolcall_parse, first_json_object, decision_routing, decision_contract, ext_threshold_at_precision, adaptation_plan, experiment_gates, experiment_compare, newest_version, first_failures, model_rule_fallback)}
+QUERIES = {f.__name__: f for f in (action_contract, enterprise_metrics, error_taxonomy, error_samples, requirement_gates, requirements_passed, requirement_config_errors, label_counts_with_zeros, rule_baseline, ext_macro_f1, toolcall_metrics, toolcall_gates, toolcall_counts, predictions_by_input, toolcall_parse, first_json_object, decision_routing, decision_contract, ext_threshold_at_precision, adaptation_plan, experiment_gates, experiment_compare, newest_version, first_failures, model_rule_fallback)}
 
 _JT = "json_type(a, '{0}')"
 
@@ -210,7 +247,7 @@ def _error_sql(source: str) -> str:
 _CANON = "string_agg(t.fullkey || '=' || coalesce(t.atom::VARCHAR, t.type), chr(10) ORDER BY t.fullkey)"
 _PAIRS = f"""rows AS (SELECT example_id, action::JSON AS e FROM enterprise_examples), next AS (SELECT example_id - 1 AS example_id, CASE WHEN example_id % 10 = 0 THEN left(action, 40) ELSE action END AS p FROM enterprise_examples),
   pairs AS (SELECT example_id, e, CASE WHEN json_valid(p) THEN p::JSON END AS p FROM rows JOIN next USING (example_id)),
-  tools AS (SELECT list(DISTINCT t) AS approved FROM (SELECT json_extract_string(action, '$.tool_call.tool') AS t FROM enterprise_examples) WHERE t < 'm'),
+  tools AS (SELECT ['get_case_status', 'get_batch_health', 'get_change_summary'] AS approved),
   ce AS (SELECT example_id, {_CANON} AS c, string_agg(CASE WHEN starts_with(t.fullkey, '$.tool_call') THEN t.fullkey || '=' || coalesce(t.atom::VARCHAR, t.type) END, chr(10) ORDER BY t.fullkey) AS tc FROM pairs, json_tree(e) t GROUP BY 1),
   cp AS (SELECT example_id, {_CANON} AS c, string_agg(CASE WHEN starts_with(t.fullkey, '$.tool_call') THEN t.fullkey || '=' || coalesce(t.atom::VARCHAR, t.type) END, chr(10) ORDER BY t.fullkey) AS tc FROM pairs, json_tree(p) t WHERE p IS NOT NULL GROUP BY 1),
   valid AS (SELECT example_id, {_error_sql('')} = 'valid' AS valid FROM (SELECT example_id, p AS a FROM pairs WHERE p IS NOT NULL)),
@@ -229,7 +266,7 @@ _LABELLED = "labelled AS (" + " UNION ALL ".join(f"SELECT example_id, '{name}' A
 _VALUES = ", ".join(f"('{m}', '{o}', {t}::DOUBLE)" for m, o, t in GATES)
 _GATED = f"gated AS (SELECT g.metric, g.operator, g.threshold, m.actual::DOUBLE AS actual, coalesce(CASE WHEN g.operator = '>=' THEN m.actual >= g.threshold ELSE m.actual <= g.threshold END, FALSE) AS passed FROM (VALUES {_VALUES}) g(metric, operator, threshold) LEFT JOIN (SELECT name AS metric, value AS actual FROM (UNPIVOT (SELECT * EXCLUDE (n) FROM metrics) ON COLUMNS(*))) m USING (metric))"
 _KINDS = "(['choice', 'score', 'boolean'])[event_id % 3 + 1]"
-_QS = f"questions AS (SELECT 'q' || event_id AS question_id, {_KINDS} AS kind, event_id % 4 AS n_options FROM events WHERE event_id % 50 <> 7), results AS (SELECT 'q' || event_id AS question_id, CASE WHEN event_id % 77 = 0 THEN 'score' ELSE {_KINDS} END AS kind, round(value / 100, 4) AS confidence, round(value / 200, 4) AS value, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'accepted' END AS status FROM events WHERE event_id % 60 <> 11)"
+_QS = f"questions AS (SELECT CASE WHEN event_id % 50 = 7 THEN 'u' ELSE 'q' END || event_id AS question_id, {_KINDS} AS kind, event_id % 4 AS n_options FROM events), results AS (SELECT CASE WHEN event_id % 60 = 11 THEN 'r' ELSE 'q' END || event_id AS question_id, CASE WHEN event_id % 77 = 0 THEN 'score' ELSE {_KINDS} END AS kind, round(value / 100, 4) AS confidence, round(value / 200, 4) AS value, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'accepted' END AS status FROM events)"
 
 
 def _null(x: object) -> str:
@@ -238,7 +275,17 @@ def _null(x: object) -> str:
 
 _EXP = "(VALUES " + ", ".join("(" + ", ".join(map(_null, e)) + ")" for e in EXPERIMENTS) + ") t(id, f1, accuracy, p95, schema)"
 _GATE = "SELECT id, '{0}' AS gate, coalesce({1}, {2})::DOUBLE AS actual, {1} IS NULL AS defaulted, '{3}' AS operator, {4}::DOUBLE AS threshold, coalesce({1}, {2}) {3} {4} AS passed FROM " + _EXP
+_CALLS = """WITH e AS (SELECT event_id AS i, event_id % 4 AS k, CASE WHEN event_id % 7 = 0 THEN 'refusal' WHEN event_id % 5 = 0 THEN 'padded' WHEN event_id % 11 = 0 THEN 'other' WHEN event_id % 13 = 0 THEN 'none' ELSE 'same' END AS said, user_id FROM events),
+  j AS (SELECT k < 3 AS is_tool, k, k < 3 AND said IN ('padded', 'other', 'same') AS name_ok, k < 3 AND said IN ('padded', 'same') AS required_ok,
+    k < 3 AND (said = 'same' OR said = 'padded' AND k = 0) AS exact_ok, said IN ('refusal', 'none') OR k = 3 AND said IN ('padded', 'same') AS refused FROM e),
+  m AS (SELECT count(*) AS total_samples, count_if(is_tool) AS tool_samples, count_if(NOT is_tool) AS refusal_samples, round(coalesce(count_if(name_ok) / nullif(count_if(is_tool), 0), 1.0), 6) AS tool_name_accuracy, round(coalesce(count_if(required_ok) / nullif(count_if(is_tool), 0), 1.0), 6) AS required_args_accuracy,
+    round(coalesce(count_if(exact_ok) / nullif(count_if(is_tool), 0), 1.0), 6) AS exact_args_accuracy, round(coalesce(count_if(refused AND NOT is_tool) / nullif(count_if(NOT is_tool), 0), 1.0), 6) AS refusal_accuracy, count_if(CASE WHEN is_tool THEN NOT required_ok ELSE NOT refused END) AS failures FROM j)"""
 ORACLE = {
+    "toolcall_metrics": _CALLS + " SELECT * FROM m",
+    "toolcall_gates": _CALLS + """ SELECT metric, '>=' AS operator, threshold, actual, actual >= threshold AS passed FROM (SELECT 'tool_name_accuracy' AS metric, 0.90::DOUBLE AS threshold, tool_name_accuracy AS actual FROM m
+        UNION ALL SELECT 'required_args_accuracy', 0.85::DOUBLE, required_args_accuracy FROM m UNION ALL SELECT 'refusal_accuracy', 0.90::DOUBLE, refusal_accuracy FROM m)""",
+    "toolcall_counts": _CALLS + " SELECT (['schedule_notification', 'query_lifetrack_status', 'open_route', 'refusal'])[k + 1] AS tool, count(*) AS n FROM j GROUP BY 1",
+    "predictions_by_input": "SELECT source, count(*) AS n, count_if(output IS NOT DISTINCT FROM p) AS n_equal FROM (SELECT source, output, first_value(output) OVER (PARTITION BY input ORDER BY row_id DESC) AS p FROM sft_rows) GROUP BY 1",
     "action_contract": f"SELECT error, count(*) AS n FROM (SELECT {_error_sql('')} AS error FROM (SELECT CASE WHEN json_valid(action) THEN action::JSON END AS a FROM enterprise_examples)) GROUP BY 1",
     "enterprise_metrics": f"WITH {_PAIRS}, {_METRICS} SELECT * FROM metrics",
     "error_taxonomy": f"WITH {_PAIRS}, {_LABELLED} SELECT d.label, count(l.label) AS n, round(count(l.label) / (SELECT count(*) FROM checked), 6) AS rate FROM (SELECT unnest([{listed(evaluate.LABELS)}]) AS label) d LEFT JOIN labelled l ON l.label = d.label GROUP BY 1",

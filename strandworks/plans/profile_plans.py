@@ -114,11 +114,14 @@ def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean.select("event_type", "scale", F.round("loss", 6).alias("loss"), F.when(F.col("loss") >= 20, F.lit(float("inf"))).otherwise(F.round(F.exp("loss"), 6)).alias("perplexity"))
 
 
+PREPARATION = {"train_ratio": 0.8, "val_ratio": 0.1, "test_ratio": 0.1, "seed": 42, "deduplicate": True, "leakage_policy": "fail"}
+
+
 def dataset_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Id of a dataset from its parts' hashes: documents are hashed in buckets of bounded size, then the buckets in order."""
-    bucket = F.floor(F.col("doc_id") / 256)
-    parts = table(spark, sf_dir, "documents").groupBy(bucket.alias("bucket")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("doc_id"))), ","), 256).alias("h"))
-    return parts.groupBy(F.floor(F.col("bucket") / 256).alias("part")).agg(F.substring(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda x: x.h), "|"), 256), 1, 16).alias("dataset_id"))
+    """The id of the documents as a dataset: by the hash of all their rows, their schema and how they are prepared."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    schema = ",".join(f"{n} {t}" for n, t in documents.dtypes)
+    return spark.createDataFrame([(profile.dataset_id(profile.content_hash(documents), schema, PREPARATION),)], "dataset_id string")
 
 
 _F = {f.__name__: f for f in (dataset_profile, class_distribution, class_imbalance, leakage_exact_norm, leakage_across_splits, quality_warnings, dedupe_keep_first, split_assignments, split_counts, token_stats_by_source, sft_prompt, label_mask, json_field_filter, latency_percentiles, perplexity, dataset_id)}
@@ -166,7 +169,4 @@ ORACLE = {
     "latency_percentiles": """WITH v AS (SELECT event_type, floor(value * 10)::BIGINT AS v FROM events WHERE value IS NOT NULL), l AS (SELECT event_type, list_sort(list(v)) AS l, count(*) AS n FROM v GROUP BY 1)
         SELECT event_type, n, l[1 + floor(0.5::DOUBLE * (n - 1))::BIGINT] AS p50_floor, l[1 + floor(0.95::DOUBLE * (n - 1))::BIGINT] AS p95_floor, l[1 + least(n - 1, floor(0.95::DOUBLE * n)::BIGINT)] AS p95_min FROM l""",
     "perplexity": """WITH s AS (SELECT event_type, 'low' AS scale, value / 100 AS loss FROM events UNION ALL SELECT event_type, 'high', value + 20 FROM events), m AS (SELECT event_type, scale, avg(loss) AS loss FROM s GROUP BY 1, 2)
-        SELECT event_type, scale, round(loss, 6) AS loss, CASE WHEN loss >= 20 THEN 'inf'::DOUBLE ELSE round(exp(loss), 6) END AS perplexity FROM m""",
-    "dataset_id": """WITH b AS (SELECT doc_id // 256 AS bucket, sha256(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS h FROM documents GROUP BY 1)
-        SELECT bucket // 256 AS part, substr(sha256(string_agg(h, '|' ORDER BY bucket)), 1, 16) AS dataset_id FROM b GROUP BY 1""",
-}
+        SELECT event_type, scale, round(loss, 6) AS loss, CASE WHEN loss >= 20 THEN 'inf'::DOUBLE ELSE round(exp(loss), 6) END AS perplexity FROM m""",}

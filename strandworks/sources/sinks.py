@@ -25,7 +25,10 @@ def alpaca_to_lines(rows: DataFrame, path: str) -> None:
 
 
 def write_report(row: DataFrame, path: str) -> None:
-    write_json_lines(row.limit(1), path, single=True)
+    """Write a report of one row; more rows are an error."""
+    if len(row.limit(2).collect()) > 1:
+        raise ValueError("a report has one row")
+    write_json_lines(row, path, single=True)
 
 
 def append_failed_queries(parsed: DataFrame, path: str, least: float = 0.5) -> None:

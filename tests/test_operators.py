@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -5,7 +6,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from strandworks.functions import records, text
-from strandworks.operators import catalog, decide, evaluate, generate, media, profile, ranking, rules, search, violations
+from strandworks.operators import catalog, decide, evaluate, generate, media, profile, ranking, rules, search, toolcalls, violations
 
 
 def test_text_forms(table):
@@ -187,3 +188,34 @@ def test_balanced_quota_and_threshold(table):
     scored = table([("g", 0.9, True), ("g", 0.8, True), ("g", 0.7, False), ("g", 0.6, True)], "g string, s double, ok boolean")
     assert values(decide.threshold_at_precision(scored, "g", "s", "ok", 0.7)) == [("g", 0.6, 0.75, 1.0)]
     assert math.isclose(0.75, 0.75)
+
+
+def test_tool_calls_by_their_rules(spark, table):
+    said = [
+        ("<open_route>{target:Home}</open_route>", "<open_route>{target: home }</open_route>"), ("<open_route>{target:a}</open_route>", None), ("I cannot.", "No."), ("I cannot.", "<open_route>{}</open_route>"),
+        ("<query_lifetrack_status>{query:my steps today}</query_lifetrack_status>", "<query_lifetrack_status>{query:steps}</query_lifetrack_status>"), ("<query_lifetrack_status>{query:x}</query_lifetrack_status>", "<query_lifetrack_status>{}</query_lifetrack_status>"),
+        ("<schedule_notification>{title:T,message:M,hour:7,minute:5,repeat_daily:True}</schedule_notification>", "<schedule_notification>{message:M,title:T,hour:07,minute:05,repeat_daily:true}</schedule_notification>"),
+        ("<read_calendar_events>{date:2024-01-02}</read_calendar_events>", "<read_calendar_events>{date:2024-01-02,end_date:x}</read_calendar_events>"), ("<no_such_tool>{}</no_such_tool>", "<no_such_tool>{}</no_such_tool>"), ("<get_current_date_time>{}</get_current_date_time>", "<get_current_date_time>{query:x}</get_current_date_time>"),
+    ]
+    rows = toolcalls.compared(table([(i, *x) for i, x in enumerate(said)], "i int, expected string, tool_said string"), "expected", "tool_said")
+    assert [tuple(r)[3:] for r in rows.orderBy("i").collect()] == [
+        (True, "open_route", True, True, False, False), (True, "open_route", False, False, False, True), (False, None, False, False, False, True), (False, None, False, False, False, False),
+        (True, "query_lifetrack_status", True, True, False, False), (True, "query_lifetrack_status", True, False, False, False), (True, "schedule_notification", True, True, True, False),
+        (True, "read_calendar_events", True, True, False, False), (True, "no_such_tool", True, False, True, False), (True, "get_current_date_time", True, True, False, False)]
+    none = toolcalls.tool_metrics(rows.limit(0)).first()
+    assert (none["tool_name_accuracy"], none["refusal_accuracy"], none["failures"]) == (1.0, 1.0, 0) and toolcalls.capabilities(spark).count() == 4
+
+
+def test_the_last_prediction_of_an_input_counts(table):
+    rows = table([(1, "a"), (2, "a"), (3, None)], "i int, input string")
+    predictions = table([(1, "a", "old"), (2, "a", "new"), (3, None, "of null"), (4, "z", "spare")], "at int, input string, out string")
+    assert values(toolcalls.last_predictions(rows, predictions, "input", "at", "out"), "i", "predicted") == [(1, "new"), (2, "new"), (3, "of null")]
+    with pytest.raises(ValueError, match="missing for 1"):
+        toolcalls.last_predictions(rows, predictions.where("at < 3"), "input", "at", "out")
+
+
+def test_ids_of_datasets(table):
+    config = {"train_ratio": 0.8, "seed": 42}
+    assert profile.dataset_id("s", "t", config) == hashlib.sha256(b's::t::{"seed": 42, "train_ratio": 0.8}').hexdigest()[:16] != profile.dataset_id("s", "t", config | {"seed": 1})
+    rows = table([(1, "a"), (2, None), (2, None)], "i int, t string")
+    assert profile.content_hash(rows) == profile.content_hash(rows.orderBy(F.desc("i"))) != profile.content_hash(rows.distinct()) and len(profile.content_hash(rows.limit(0))) == 64
