@@ -1,14 +1,16 @@
 """Problem 9: a mix of sources at target shares of its tokens.
 
-A classifier fitted to the labelled table predicts how much each document belongs to every domain. Documents of one
-source and like membership form a cell, of which there are boundedly many; a projected gradient finds for each cell the
-rate between 0 and the source's cap at which its documents are used, such that sources reach their target tokens and the
-expected tokens of the predicted domains come as near to theirs as that allows. Rates become whole numbers of copies by a
-hash of the document, with a cut-off per source that meets its target.
+A classifier fitted to the labelled table predicts how much each document belongs to every domain. A projected gradient
+finds each document's rate between 0 and its source's cap such that the expected tokens of all domains match their
+targets: every step is one aggregation over all documents, and the driver holds only a few numbers per domain. Since
+targets are defined on the sources that documents state, steps of the same kind then move the rates of each stated source
+until its tokens match too. Rates become whole numbers of copies by a hash of the document, with a cut-off per source.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -21,15 +23,18 @@ from .normal import words
 
 TERMS = 4096  # hashed words of the classifier
 FITTED = 3000  # documents the classifier is fitted on at most, chosen by hash
-LEVELS = 10  # levels of the greatest posterior that part cells
 BINS = 4096  # bins in which a source's cut-off is sought
-STEPS = 400
+STEPS, NEAR = 12, 0.002  # steps of the gradient at most, and the relative distance of totals from targets at which it ends
+
+
+@lru_cache(maxsize=1 << 18)
+def _slot(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) % TERMS
 
 
 def features(text: str | None) -> np.ndarray:
     """Slots of a text's distinct words."""
-    seen = set(words(text or "").split())
-    return np.array(sorted({xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % TERMS for w in seen}), dtype=np.int64)
+    return np.array(sorted(set(map(_slot, words(text or "").split()))), dtype=np.int64)
 
 
 class Membership:
@@ -62,40 +67,6 @@ def _softmax(raw: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def solve(tokens: np.ndarray, source: np.ndarray, posterior: np.ndarray, cap: np.ndarray, target: np.ndarray, soft: float = 0.05, steps: int = STEPS) -> np.ndarray:
-    """Rate of each cell in [0, cap]: projected gradient on the squared distance of source totals, and softly of domain totals.
-
-    tokens, source and cap are per cell, posterior is cells by domains, target is per domain in tokens; a source of -1 has
-    no target of its own. Afterwards the rates of each source are scaled, within their caps, to its target.
-    """
-    n = len(target)
-    own = np.zeros((len(tokens), n))
-    own[np.flatnonzero(source >= 0), source[source >= 0]] = 1
-    scale = np.maximum(target, target.sum() * 1e-6)
-    a = np.concatenate([own * tokens[:, None] / scale, np.sqrt(soft) * posterior * tokens[:, None] / scale], axis=1)
-    goal = np.concatenate([np.ones(n), np.full(n, np.sqrt(soft))]) * np.concatenate([target / scale] * 2)
-    known = source >= 0
-    have = np.maximum((own * tokens[:, None]).sum(0), 1e-9)
-    rate = np.where(known, np.minimum(cap, (target / have)[np.where(known, source, 0)]), 0.0)
-    norm = np.linalg.norm(a, 2) ** 2 if len(tokens) else 1.0
-    ahead, momentum = rate.copy(), 1.0
-    for _ in range(steps):
-        new = np.clip(ahead - (a @ (a.T @ ahead - goal)) / max(norm, 1e-12), 0, cap)
-        after = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        ahead = new + (momentum - 1) / after * (new - rate)
-        rate, momentum = new, after
-    for s in range(n):  # exact source totals, where the cap allows: more or less of every cell alike
-        at = np.flatnonzero(source == s)
-        if not len(at):
-            continue
-        low, high = -float(cap[at].max()) - 1, float(cap[at].max()) + 1
-        for _ in range(80):
-            mid = (low + high) / 2
-            low, high = (mid, high) if (np.clip(rate[at] + mid, 0, cap[at]) * tokens[at]).sum() < target[s] else (low, mid)
-        rate[at] = np.clip(rate[at] + high, 0, cap[at])
-    return rate
-
-
 def attainable(share: np.ndarray, most: np.ndarray, total: float) -> np.ndarray:
     """Tokens aimed at per source: shares of the total, where what a source lacks at its cap goes to the others by their shares."""
     goal, free = np.zeros(len(share)), np.ones(len(share), bool)
@@ -111,8 +82,34 @@ def attainable(share: np.ndarray, most: np.ndarray, total: float) -> np.ndarray:
     return np.minimum(goal, most)
 
 
+def fit_rates(documents: DataFrame, shares: list, goal: np.ndarray, steps: int = STEPS) -> DataFrame:
+    """documents with their column `rate`, in [0, cap], moved until the sums of rate x tokens x share match the goal per domain.
+
+    Projected gradient steps on the squared distance of the totals, each scaled by the tokens that can still move. A step
+    sums over all documents on the cluster; rates are expressions of the steps' few numbers, so nothing is shuffled but the
+    sums. It ends when all totals are NEAR their goal, when no total comes nearer, or after the given number of steps.
+    """
+    best = np.inf
+    for _ in range(steps):
+        sums = [F.sum(F.col("rate") * F.col("_tokens") * p).alias(f"d{i}") for i, p in enumerate(shares)]
+        # what can move: all that is not held at the bound towards which it would go
+        low = [F.sum(F.when(F.col("rate") < F.col("cap"), F.col("_tokens") * p)).alias(f"up{i}") for i, p in enumerate(shares)]
+        high = [F.sum(F.when(F.col("rate") > 0, F.col("_tokens") * p)).alias(f"down{i}") for i, p in enumerate(shares)]
+        row = documents.agg(*sums, *low, *high).first()
+        off = np.array([float(row[f"d{i}"] or 0) - g for i, g in enumerate(goal)])
+        movable = np.array([float(row[f"{'up' if x < 0 else 'down'}{i}"] or 0) for i, x in enumerate(off)])
+        worst = float(np.max(np.abs(off) * (movable > 0) / np.maximum(goal, goal.sum() * 1e-3)))
+        if worst <= NEAR or worst > best * 0.98:
+            break
+        best = worst
+        step = np.where(movable > 0, off / np.maximum(movable, 1e-9), 0.0)
+        move = sum((p * F.lit(float(x)) for p, x in zip(shares, step)), F.lit(0.0))
+        documents = documents.withColumn("rate", F.greatest(F.lit(0.0), F.least(F.col("cap").cast("double"), F.col("rate") - move)))
+    return documents
+
+
 def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", tokens: str = "tokens", total: float | None = None, fitted: int = FITTED) -> DataFrame:
-    """(key, source, tokens, copies) of every document used at least once.
+    """(key, source, tokens, copies, posterior) of every document used at least once; posteriors are in the order of the sorted sources.
 
     targets has `source`, `target_share` and `max_repeats` for each of boundedly many sources. The mix aims at `total`
     tokens, those of all documents if not given. A document's own source counts; documents whose source is null or has no
@@ -123,39 +120,34 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str
     spark = documents.sparkSession
     wanted = targets.where("source IS NOT NULL").select("source", "target_share", "max_repeats").orderBy("source").collect()
     names = [r["source"] for r in wanted]
-    usable = documents.where(F.col(tokens) > 0).select(key, F.col(text).alias("_text"), F.col(source).alias("_source"), F.col(tokens).alias("_tokens"))
-    sample = usable.where(F.col("_source").isin(names)).orderBy(F.xxhash64(key), key).limit(fitted).select("_text", "_source").toPandas() if names else []
+    usable = documents.select(key, F.col(text).alias("_text"), F.col(source).alias("_source"), F.col(tokens).alias("_tokens"))
+    known = documents.where(F.col(source).isin(names) & (F.trim(F.col(text)) != "")).select(key, F.col(text).alias("_text"), F.col(source).alias("_source"))
+    sample = known.orderBy(F.xxhash64(key), key).limit(fitted).select("_text", "_source").toPandas() if names else []
     if not len(sample):  # no source, or none of its documents
-        return usable.select(key, F.col("_source").alias("source"), F.col("_tokens").alias("tokens"), F.lit(0).alias("copies")).limit(0)
+        return usable.select(key, F.col("_source").alias("source"), F.col("_tokens").alias("tokens"), F.lit(0).alias("copies"), F.array().cast("array<double>").alias("posterior")).limit(0)
     model = spark.sparkContext.broadcast(Membership(sample["_text"].tolist(), sample["_source"].tolist()))
-    present = model.value.names
+    present = [model.value.names.index(n) if n in model.value.names else -1 for n in names]
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def posteriors(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.value.posteriors(t) for t in texts])
+        p = np.array([model.value.posteriors(t) for t in texts], np.float64).reshape(-1, len(model.value.names))
+        return pd.Series(list(np.concatenate([p, np.zeros((len(p), 1))], axis=1)[:, present]))
 
     order = F.array(*[F.lit(n) for n in names])
     own = F.coalesce(F.when(F.col("_source").isin(names), F.array_position(order, F.col("_source"))), F.lit(0)).cast("int") - 1
-    formed = usable.withColumn("_p", posteriors("_text")).withColumn("_own", own)
-    best = F.array_max("_p")
-    cell = F.struct(F.col("_own").alias("own"), F.array_position("_p", best).cast("int").alias("best"), F.floor(best * LEVELS).cast("int").alias("level"))
-    celled = checkpointed(formed.select(key, "_source", "_tokens", "_own", cell.alias("_cell"), "_p"))
-    sums = [F.sum(F.col("_tokens") * F.col("_p")[i]).alias(f"p{i}") for i in range(len(present))]
-    # at most sources x domains x levels rows, whatever the number of documents
-    cells = celled.groupBy("_cell").agg(F.sum("_tokens").alias("tokens"), *sums).orderBy("_cell").collect()
-    held = np.array([float(r["tokens"]) for r in cells])
-    at = np.array([r["_cell"]["own"] for r in cells], dtype=np.int64)
-    posterior = np.zeros((len(cells), len(names)))
-    for i, name in enumerate(present):
-        posterior[:, names.index(name)] = [r[f"p{i}"] / r["tokens"] for r in cells]
-    caps = np.array([float(wanted[s]["max_repeats"] or 0) if s >= 0 else 1.0 for s in at])
+    cap = F.coalesce(F.element_at(F.array(*[F.lit(int(r["max_repeats"] or 0)) for r in wanted], F.lit(1)), F.when(F.col("own") >= 0, F.col("own") + 1).otherwise(len(names) + 1)), F.lit(1))
+    # texts are read once, for tokens and posteriors together; a filter on tokens before would count them twice
+    kept = checkpointed(usable.select(key, "_source", "_tokens", own.alias("own"), posteriors("_text").alias("_p"))).where("_tokens > 0").withColumn("cap", cap)
     share = np.array([float(r["target_share"] or 0) for r in wanted])
-    most = np.array([(held * caps)[at == s].sum() for s in range(len(names))])
-    goal = attainable(share, most, float(total) if total is not None else float(held.sum()))
-    rates = solve(held, at, posterior, caps, goal)
-    rows = [(*r["_cell"], float(x), int(c)) for r, x, c in zip(cells, rates, caps)]
-    rate = spark.createDataFrame(rows, "own int, best int, level int, rate double, cap int")
-    used = celled.select(key, "_source", "_tokens", F.col("_cell.own").alias("own"), F.col("_cell.best").alias("best"), F.col("_cell.level").alias("level")).join(F.broadcast(rate), ["own", "best", "level"])
+    held = {r["own"]: float(r["t"]) for r in kept.groupBy("own").agg(F.sum("_tokens").alias("t")).collect()}  # one row per source
+    caps = np.array([float(r["max_repeats"] or 0) for r in wanted])
+    most = np.array([held.get(i, 0.0) for i in range(len(names))]) * caps
+    goal = attainable(share, most, float(total) if total is not None else sum(held.values()))
+    soft = [F.col("_p")[i] for i in range(len(names))]
+    hard = [(F.col("own") == i).cast("double") for i in range(len(names))]
+    used = fit_rates(kept.withColumn("rate", F.least(F.lit(1.0), F.col("cap"))), soft, goal)
+    used = fit_rates(used, hard, goal)
+    loose = used.where("own < 0").agg(F.sum(F.col("rate") * F.col("_tokens"))).first()[0] or 0.0
     # a uniform number of each document decides on its last copy
     uniform = F.pmod(F.xxhash64(F.lit("mix"), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
     spread = used.withColumn("_base", F.floor("rate").cast("int")).withColumn("_over", uniform - (F.col("rate") - F.floor("rate")))
@@ -166,7 +158,7 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str
     for s in sorted({r["own"] for r in counted}):
         mine = [r for r in counted if r["own"] == s]
         base = sum(r["base"] for r in mine)
-        want = goal[s] if s >= 0 else float((rates * held)[at == -1].sum())
+        want = goal[s] if s >= 0 else float(loose)
         reached, cut = base, -1
         for r in mine:
             if abs(reached + r["more"] - want) > abs(reached - want):
@@ -175,16 +167,20 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str
         cuts.append((int(s), int(cut)))
     chosen = bins.join(F.broadcast(spark.createDataFrame(cuts, "own int, _cut int")), "own")
     copies = F.col("_base") + ((F.col("_bin") <= F.col("_cut")) & (F.col("_base") < F.col("cap"))).cast("int")
-    return chosen.select(key, F.col("_source").alias("source"), F.col("_tokens").alias("tokens"), copies.alias("copies")).where("copies > 0")
+    return chosen.select(key, F.col("_source").alias("source"), F.col("_tokens").alias("tokens"), copies.alias("copies"), F.col("_p").alias("posterior")).where("copies > 0")
 
 
 def share_report(mixed: DataFrame, documents: DataFrame, targets: DataFrame, source: str = "source", tokens: str = "tokens") -> DataFrame:
-    """Per source: target and reached share, documents, copies and tokens used, the cap, and whether the target can be met."""
+    """Per source: target share, the share reached by stated sources and the one expected by posteriors, documents, copies and tokens used, the cap, and whether the target can be met."""
     used = mixed.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum("copies").alias("n_copies"), F.sum(F.col("copies") * F.col("tokens")).alias("n_tokens"), F.max("copies").alias("most_copies"))
     there = documents.groupBy(F.col(source).alias("source")).agg(F.sum(tokens).alias("held"))
+    names = [r[0] for r in targets.where("source IS NOT NULL").select("source").distinct().orderBy("source").collect()]
+    each = mixed.select(F.posexplode("posterior").alias("_i", "_p"), (F.col("copies") * F.col("tokens")).alias("_t")).groupBy("_i").agg(F.sum(F.col("_p") * F.col("_t")).alias("expected"))
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_i") + 1) if names else F.lit(None).cast("string")
     # sources are few: one row each
-    joined = targets.join(used, "source", "full").join(there, "source", "left")
+    joined = targets.join(used, "source", "full").join(there, "source", "left").join(each.select(named.alias("source"), "expected"), "source", "left")
     everything = Window.partitionBy()
     reached = F.coalesce("n_tokens", F.lit(0)) / F.sum("n_tokens").over(everything)
+    expected = F.coalesce("expected", F.lit(0.0)) / F.sum("n_tokens").over(everything)
     possible = F.col("target_share") * F.sum("held").over(everything) <= F.col("held") * F.col("max_repeats")
-    return joined.select("source", "target_share", F.round(reached, 6).alias("reached_share"), "max_repeats", F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), possible.alias("can_be_met"))
+    return joined.select("source", "target_share", F.round(reached, 6).alias("reached_share"), F.round(expected, 6).alias("expected_share"), "max_repeats", F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), possible.alias("can_be_met"))

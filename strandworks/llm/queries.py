@@ -123,12 +123,11 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of the mix with their numbers of copies."""
-    sized = checkpointed(_sized(spark, sf_dir, "source", "text"))
-    return mixing.mix(sized, table(spark, sf_dir, "mix_targets"))
+    return mixing.mix(_sized(spark, sf_dir, "source", "text"), table(spark, sf_dir, "mix_targets")).drop("posterior")
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target and reached share of each source."""
+    """Target, reached and expected share of each source."""
     sized = checkpointed(_sized(spark, sf_dir, "source", "text"))
     targets = table(spark, sf_dir, "mix_targets")
     return mixing.share_report(mixing.mix(sized, targets), sized, targets)

@@ -206,10 +206,24 @@ def test_mix_reaches_targets_within_caps(spark):
     assert abs(sum(r["n_tokens"] for r in report.values() if r["source"]) - total) < 0.02 * total
     assert report["c"]["n_tokens"] == most_c and not report["c"]["can_be_met"] and report["a"]["can_be_met"]
     assert abs(report["a"]["reached_share"] - report["b"]["reached_share"]) < 0.01 and report["a"]["most_copies"] <= 1 and report["b"]["most_copies"] <= 2
-    assert values(got) == values(mixing.mix(df.repartition(7), targets))
+    assert abs(sum(r["expected_share"] for r in report.values() if r["source"]) - 1) < 0.02
+    columns = ["doc_id", "source", "tokens", "copies"]
+    assert values(got, *columns) == values(mixing.mix(df.repartition(7), targets), *columns)
     assert mixing.mix(df.limit(0), targets).count() == 0 and mixing.mix(df, targets.limit(0)).count() == 0
 
 
+def test_gradient_fits_expected_totals(spark):
+    rng = np.random.default_rng(15)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 3000)
+    rows = [(int(i), int(t), [float(v) for v in x]) for i, (t, x) in enumerate(zip(rng.integers(5, 500, len(p)), p))]
+    df = spark.createDataFrame(rows, "i long, _tokens long, _p array<double>").selectExpr("*", "2 AS cap", "1.0D AS rate")
+    tokens_ = np.array([r[1] for r in rows])
+    goal = np.array([1.5, 0.6, 0.9]) * (p * tokens_[:, None]).sum(0)
+    got = mixing.fit_rates(df, [mixing.F.col("_p")[k] for k in range(3)], goal).orderBy("i").select("rate").toPandas()["rate"].to_numpy()
+    reached = (p * (got * tokens_)[:, None]).sum(0)
+    assert np.abs(reached / goal - 1).max() <= mixing.NEAR and got.min() >= 0 and got.max() <= 2
+
+
 def test_classifier_tells_topics_apart():
     rng = random.Random(11)
     topic = {"film": "scene actor camera plot cast", "code": "class method loop return type"}
