@@ -45,13 +45,13 @@ ECHO = re.compile(r"\b(?:repeat|echo|verbatim|unchanged|copy (?:the|this)|exactl
 ASKS_REFUSAL = re.compile(r"\b(?:refus\w*|decline\w*|reject\w*|turn down|say no|ablehn\w*|absage\w*|rechaz\w*|denegar)\b")
 TRANSLATES = re.compile(r"\b(?:translat\w*|übersetz\w*|traduis\w*|traduire|traduce|traducir|traduzca)\b|अनुवाद")
 LANGUAGES = {"en": "english,englisch,anglais,inglés,अंग्रेज़ी", "de": "german,deutsch,deutsche,allemand,alemán", "fr": "french,französisch,français,francés", "es": "spanish,spanisch,espagnol,español", "hi": "hindi,हिंदी,हिन्दी"}
-# Frequent words that mark a language; hi in Latin script.
+# Frequent function words that mark a language; hi in Latin script.
 FREQUENT = {
-    "en": "the,is,are,was,to,you,your,for,and,of,we,will,be,with,on,at,that,have,has,been,this,it,in,because,please,an,not,until,when,from,by,our,i,if,can,which,who,what,does,or,as,any,dear,thank,thanks,sorry,more,than",
-    "de": "der,die,das,und,ist,für,mit,auf,ein,eine,einmal,wir,haben,sie,ihre,ihr,am,an,wurde,weil,nicht,bis,zu,dem,den,des,im,von,kann,ich,es,war,sind,auch,oder,wird,bei,nach,alles,leider",
+    "en": "the,is,are,was,to,you,your,for,and,of,we,will,be,with,on,at,that,have,has,been,this,it,in,because,please,an,not,until,when,from,by,our,i,if,can,which,who,what,does,or,as,any,more,than",
+    "de": "der,die,das,und,ist,für,mit,auf,ein,eine,wir,haben,sie,ihre,ihr,am,an,wurde,weil,nicht,bis,zu,dem,den,des,im,von,kann,ich,es,war,sind,auch,oder,wird,bei,nach",
     "fr": "le,la,les,des,et,une,un,est,pour,que,dans,sur,votre,vous,nous,avons,au,aux,jusqu,ne,pas,à,été,où,du,ce,cette,il,je,sera,était,parce,avec,par,de,en",
-    "es": "el,los,las,del,que,en,y,con,para,por,está,ha,se,su,sus,una,un,porque,hasta,lo,no,es,la,de,qué,pasa,le,al,estaba,hemos,movido,estará,nada",
-    "hi": "hai,hain,ka,ki,ke,ko,aur,mein,me,se,nahi,ab,gaya,gayi,tha,thi,par,wo,woh,aapka,aapki,kyunki,ho,diya,usme,ek,kya,yeh,jayega,kar,raha,tak,liye",
+    "es": "el,los,las,del,que,en,y,con,para,por,está,ha,se,su,sus,una,un,porque,hasta,lo,no,es,la,de,qué,le,al",
+    "hi": "hai,hain,ka,ki,ke,ko,aur,mein,me,se,nahi,ab,gaya,gayi,tha,thi,par,wo,woh,aapka,aapki,kyunki,ho,ek,kya,yeh,kar,raha,tak,liye",
 }
 _FREQUENT = {lang: frozenset(x.split(",")) for lang, x in FREQUENT.items()}
 # Words after which no sentence ends.
