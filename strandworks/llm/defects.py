@@ -201,9 +201,13 @@ def length_spikes(unfinished: DataFrame) -> DataFrame:
     return counts.join(spread, "size", "left").where((F.col("n") >= SUPPORT) & (F.col("n") >= SPIKE * F.coalesce("beside", F.lit(0.0)))).select("size")
 
 
-def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, output: str, lang: str) -> DataFrame:
+def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, output: str, lang: str, evidence: bool = False) -> DataFrame:
     """(key, defect) of each row whose response fails to answer, with one of empty, copy, refusal, truncated, language.
 
+    With evidence also what showed it: for truncated responses the first of prefix (a neighbour goes on), limit (a spike of
+    lengths), structure (open brackets or quotes), ending (the corpus goes on there), unseen (nothing ends there) and
+    open_word; for the others "rule".
+
     A null, blank or placeholder response is empty unless the instruction names the placeholder; an echo or a refusal that
     the instruction asks for is none. A null instruction or prompt counts as blank, a null language is told from the
     prompt's words. Rows without a key are left out; a key given twice is judged twice. Texts are read whole. Other
@@ -253,6 +257,8 @@ def defective_pairs(rows: DataFrame, key: str, instruction: str, prompt: str, ou
     unusual = F.coalesce(F.col("rate") < 0.5, F.lit(True))  # responses don't mostly go on to end here
     extended = unusual & (F.col("within_word") | (F.col("within_word").isNotNull() & prose)) & (~apart | (prose & (F.col("_words") >= 3)))
     at_limit = unusual & F.col("at_limit").isNotNull() & prose
-    truncated = joined.where(rare | extended | F.col("open") | unseen | at_limit).select("_key", F.lit("truncated").alias("_t"))
-    found = judged.join(truncated, "_key", "left").select(F.col("_key").alias(key), F.coalesce("_t", "defect").alias("defect"))
-    return found.where("defect IS NOT NULL")
+    shown = F.when(F.coalesce(extended, F.lit(False)), "prefix").when(at_limit, "limit").when(rare, "ending").when(unseen, "unseen").when(F.col("open"), "open_word")
+    truncated = joined.select("_key", shown.alias("_t")).where("_t IS NOT NULL")
+    found = judged.join(truncated, "_key", "left").select(F.col("_key").alias(key), F.when(F.col("_t").isNotNull(), "truncated").otherwise(F.col("defect")).alias("defect"), F.coalesce("_t", F.when(F.col("defect") == "truncated", "structure").otherwise("rule")).alias("evidence"))
+    found = found.where("defect IS NOT NULL")
+    return found if evidence else found.drop("evidence")

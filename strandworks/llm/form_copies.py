@@ -120,15 +120,16 @@ def form_copies(records: DataFrame, key: str, left: str, right: str) -> DataFram
     whole. Keys must be unique, as row keys are; a key given twice counts once. Rows without a key are left out. Other
     columns are not read.
     """
-    own = records.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(left).alias("_l"), F.col(right).alias("_r")).dropDuplicates(["_id"])
+    own = records.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(left).alias("_l"), F.col(right).alias("_r"))
     group = ["h1", "h2", "n"]
+    # a key given twice with equal records is one row; only keys and fingerprints are shuffled, texts never for this
     keyed = checkpointed(own.withColumn("_f", _fingerprint_udf(0)("_l", "_r")).select("_id", "_f.*"))
-    first = keyed.groupBy(*group).agg(F.min("_id").alias("kept_id"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    members = keyed.join(first, group).where("_id <> kept_id").select(F.col("_id").alias("copy_id"), "kept_id")
+    first = keyed.groupBy(*group).agg(F.min("_id").alias("kept_id"), F.max("_id").alias("_most")).where("kept_id < _most").drop("_most")
+    members = keyed.join(first, group).where("_id <> kept_id").select(F.col("_id").alias("copy_id"), "kept_id").distinct()
     kept = own.select(F.col("_id").alias("kept_id"), F.col("_l").alias("_kl"), F.col("_r").alias("_kr")).join(first.select("kept_id"), "kept_id", "left_semi")
     copies = own.select(F.col("_id").alias("copy_id"), "_l", "_r").join(members, "copy_id")
     checked = copies.join(kept, "kept_id").withColumn("_same", _same_fields("_l", "_r", "_kl", "_kr"))
-    pairs = checkpointed(checked.select("kept_id", "copy_id", "_same"))
+    pairs = checkpointed(checked.select("kept_id", "copy_id", "_same").distinct())
     missed = pairs.where("NOT _same")
     # records that share all 128 bits and the number of fields without being equal are grouped once more, by another hash
     if missed.isEmpty():

@@ -63,6 +63,12 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source", "defect").agg(F.count("*").alias("n_rows"))
 
 
+def p4_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many defects each kind of evidence shows."""
+    judged = defects.defective_pairs(table(spark, sf_dir, "sft_rows"), "row_id", "instruction", "input", "output", "lang", evidence=True)
+    return judged.groupBy("defect", "evidence").agg(F.count("*").alias("n_rows"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return form_copies.form_copies(table(spark, sf_dir, "sft_rows"), "row_id", "input", "output")
 
@@ -149,5 +155,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.col("flagged").cast("long")).alias("n_flagged"), F.round(F.avg(F.col("flagged").cast("double")), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_coverage": p2_coverage, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_coverage": p2_coverage, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p4_evidence": p4_evidence, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}

@@ -96,6 +96,7 @@ def test_copies_equal_brute_force(spark):
             wanted.append((first[group[i]], i))
         first.setdefault(group[i], i)
     assert values(form_copies.form_copies(df, "row_id", "input", "output")) == sorted(wanted, key=repr)
+    assert values(form_copies.form_copies(df.unionByName(df), "row_id", "input", "output")) == sorted(wanted, key=repr)
     counts = values(form_copies.copy_counts(df, "row_id", "input", "output"))
     assert counts == sorted(((first[g], n) for g, n in Counter(group.values()).items()), key=repr)
     assert form_copies.form_copies(df.limit(0), "row_id", "input", "output").count() == 0
