@@ -155,5 +155,56 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.col("flagged").cast("long")).alias("n_flagged"), F.round(F.avg(F.col("flagged").cast("double")), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_coverage": p2_coverage, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p4_evidence": p4_evidence, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
-ORACLE: dict[str, str] = {}
+def p2_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps that can be none: within one side, of an unknown example, given twice, or with a coverage out of bounds."""
+    splits = table(spark, sf_dir, "enterprise_examples").select("example_id", "split")
+    found = p2_overlaps(spark, sf_dir).join(splits.select(F.col("example_id").alias("train_id"), F.col("split").alias("_a")), "train_id", "left").join(splits.select(F.col("example_id").alias("eval_id"), F.col("split").alias("_b")), "eval_id", "left")
+    wrong = ~F.coalesce((F.col("_a") == "train") & (F.col("_b") != "train"), F.lit(False))
+    each = found.groupBy("train_id", "eval_id").agg(F.count("*").alias("_n"), F.max(wrong).alias("_w"), F.min(F.col("coverage").between(winnow.COVERAGE, 1.0)).alias("_c"))
+    return each.agg(F.count_if("_w").alias("n_not_across"), F.count_if(F.col("_n") > 1).alias("n_twice"), F.count_if(~F.col("_c")).alias("n_coverage"))
+
+
+def p6_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per list, entries, entries without exactly one answer, and answers that the list hasn't."""
+    listed = _reference(spark, sf_dir).select("list", F.col("entity").alias("entity_id"), F.lit(True).alias("_there")).distinct()
+    entries = table(spark, sf_dir, "alias_entries").select("entry_id", F.col("field_kind").alias("list"))
+    answers = p6_found(spark, sf_dir).groupBy("entry_id").agg(F.count("*").alias("_n"), F.first("entity_id").alias("entity_id"))
+    each = entries.join(answers, "entry_id", "left").join(listed, ["list", "entity_id"], "left")
+    return each.groupBy("list").agg(F.count("*").alias("n_entries"), F.count_if(F.coalesce(F.col("_n"), F.lit(0)) != 1).alias("n_not_once"), F.count_if(F.col("_there").isNull() & (F.col("entity_id") != aliases.NONE)).alias("n_unlisted"))
+
+
+def p8_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per limit, containers over capacity or with gaps in their positions, and documents whose tokens don't come out exactly once."""
+    sized = checkpointed(_sized(spark, sf_dir))
+    out = []
+    for r in table(spark, sf_dir, "pack_limits").orderBy("limit_name").collect():
+        capacity, separator = r["capacity_tokens"], r["separator_tokens"]
+        packed = checkpointed(packing.pack(sized, "doc_id", "tokens", capacity, separator))
+        held = packed.groupBy("container").agg(F.sum("size").alias("t"), F.count("*").alias("n"), F.max("position").alias("p"), F.count_distinct("position").alias("d"))
+        over = held.agg(F.count_if(F.col("t") + separator * (F.col("n") - 1) > capacity).alias("n_over"), F.count_if((F.col("p") + 1 != F.col("n")) | (F.col("d") != F.col("n"))).alias("n_gaps"))
+        came = packed.groupBy("doc_id").agg(F.sum("size").alias("t"), F.count("*").alias("n"), F.max(F.col("start") + F.col("size")).alias("end"), F.count_distinct("start").alias("d"))
+        joined = sized.join(came, "doc_id", "full")
+        exact = F.coalesce((F.col("t") == F.col("tokens")) & (F.col("end") == F.col("tokens")) & (F.col("d") == F.col("n")) & (F.col("n") == F.ceil(F.col("tokens") / F.lit(capacity))), F.col("tokens") == 0)
+        lost = joined.agg(F.count_if(~F.coalesce(exact, F.lit(False))).alias("n_not_once"))
+        out += [x.withColumn("limit_name", F.lit(r["limit_name"])) for x in (over, lost)]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
+    return both.groupBy("limit_name").agg(*[F.sum(c).alias(c) for c in ("n_over", "n_gaps", "n_not_once")])
+
+
+def p9_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source, documents used more often than its cap allows, and documents used that the table hasn't under that source."""
+    targets = table(spark, sf_dir, "mix_targets").select("source", "max_repeats")
+    there = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("_source"))
+    used = p9_mix(spark, sf_dir).join(there, "doc_id", "left")
+    each = used.groupBy("source").agg(F.max("copies").alias("_most"), F.count_if(~F.col("source").eqNullSafe(F.col("_source"))).alias("n_strange"))
+    return targets.join(each, "source", "left").select("source", F.coalesce(F.col("_most") > F.col("max_repeats"), F.lit(False)).alias("over_cap"), F.coalesce("n_strange", F.lit(0)).alias("n_strange"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_overlaps": p2_overlaps, "p2_coverage": p2_coverage, "p2_report": p2_report, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_report": p4_report, "p4_evidence": p4_evidence, "p5_found": p5_found, "p5_counts": p5_counts, "p6_found": p6_found, "p6_mapped": p6_mapped, "p6_unmatched": p6_unmatched, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates, "p2_violations": p2_violations, "p6_violations": p6_violations, "p8_violations": p8_violations, "p9_violations": p9_violations}
+# what SQL can say of these operators' results: that they keep their invariants
+ORACLE: dict[str, str] = {
+    "p2_violations": "SELECT 0 AS n_not_across, 0 AS n_twice, 0 AS n_coverage",
+    "p6_violations": "SELECT field_kind AS list, count(*) AS n_entries, 0 AS n_not_once, 0 AS n_unlisted FROM alias_entries GROUP BY 1",
+    "p8_violations": "SELECT limit_name, 0 AS n_over, 0 AS n_gaps, 0 AS n_not_once FROM pack_limits",
+    "p9_violations": "SELECT source, FALSE AS over_cap, 0 AS n_strange FROM mix_targets",
+}
