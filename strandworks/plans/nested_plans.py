@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.nested import items, latest_delivery, leaf_paths, path_triples, pivot_table, unread
+from ..operators.nested import flat_tables, latest_delivery, leaf_paths, path_triples, pivot_table, unread
 from ..session import table
 
 # The repeated parts of an asset and the names that mark one of their items.
@@ -51,10 +51,13 @@ def vocabulary_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each nested item of the assets and for each alias of a team."""
+    """One row for each nested item of the assets and for each alias of a team: the keys of the rows of all flat tables.
+
+    An alias of a market that stands in several vocabulary rows counts in each of them.
+    """
     child = F.create_map(*[F.lit(x) for pair in CHILD.items() for x in pair])
-    found = items(asset_triples(spark, sf_dir)).unionByName(items(vocabulary_triples(spark, sf_dir)))
-    return found.where(F.col("node").isin(list(CHILD))).select(F.col("record_id").alias("parent_id"), child[F.col("node")].alias("child"), "pos")
+    flat = flat_tables(asset_triples(spark, sf_dir).unionByName(vocabulary_triples(spark, sf_dir))).where(F.col("node").isin(list(CHILD)))
+    return flat.select(F.col("record_id").alias("parent_id"), child[F.col("node")].alias("child"), F.explode(F.array_repeat("pos", F.col("n_given").cast("int"))).alias("pos"))
 
 
 def _part(name: str):

@@ -3,7 +3,7 @@ import random
 
 from conftest import values
 
-from strandworks.operators.nested import _steps, items, latest_delivery, leaf_paths, path_triples, pivot_table, record_triples, unread
+from strandworks.operators.nested import _steps, flat_tables, items, latest_delivery, leaf_paths, path_triples, pivot_table, record_triples, unread
 from strandworks.plans.nested_plans import QUERIES
 
 PARTS = {"a.windows": {"territory", "offers"}, "a.windows.offers": {"kind"}}
@@ -99,6 +99,23 @@ def test_the_records_own_level_and_aliases(spark, table, tmp_path):
     assert {("entities.team.aliases", "", 2, 2), ("entities.team", "name", 3, 2), ("", "title", 1, 1)} <= set(values(QUERIES["p1_leaf_paths"](spark, str(tmp_path))))
 
 
+def test_found_items_are_the_rows_of_the_flat_tables(spark, table, tmp_path):
+    asset = {"availability": {"windows": {"DE": {"offers": [{"kind": "x"}, None, {}]}, "FR": {}}}, "quality": {"tiers": {"label": "sd", "renditions": []}}, "metadata": {"credits": [None, {"name": "N"}]}}
+    table([("a", json.dumps(asset), 1), ("b", "{", 1)], "id string, json string, at int").selectExpr("id", "json", "timestamp_seconds(at) AS ingested_at").write.parquet(f"{tmp_path}/media_assets.parquet")
+    markets = [("in", ([("t1", "F", ["x", None, "y"])],)), ("in", ([("t1", "F", ["z"])],)), ("de", (None,))]  # a market in two vocabulary rows
+    table(markets, "market string, entities struct<team: array<struct<id: string, name: string, aliases: array<string>>>>").write.parquet(f"{tmp_path}/entities_v1.parquet")
+    found = QUERIES["p1_found"](spark, str(tmp_path))
+    wanted = [("a", "credit", "1"), ("a", "offer", "DE.0"), ("a", "offer", "DE.2"), ("a", "tier", "0"), ("a", "window", "DE"), ("a", "window", "FR"), ("in", "team_alias", "0.0"), ("in", "team_alias", "0.0"), ("in", "team_alias", "0.2")]
+    assert values(found, "parent_id", "child", "pos") == wanted
+    grouped = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [node" in line]
+    assert len(grouped) == 1, "the items come from triples grouped by their nearest repeated ancestor"
+    triples = path_triples(table([("r", json.dumps(asset))], "id string, json string"), "id", "json", {"availability.windows": set(), "availability.windows.offers": {"kind"}})
+    flat = flat_tables(triples, ["kind"])
+    for node in ("", "availability.windows", "availability.windows.offers"):
+        assert values(flat.where(f"node = '{node}'").drop("node", "n_given").withColumn("rest", flat["rest"].cast("string"))) == values(pivot_table(triples, node, ["kind"]).selectExpr("record_id", "pos", "parent_pos", "kind", "CAST(rest AS string) rest"))
+    assert values(flat, "node", "pos", "kind", "n_given") == [("", "", None, 1), ("availability.windows", "DE", None, 1), ("availability.windows", "FR", None, 1), ("availability.windows.offers", "DE.0", "x", 1), ("availability.windows.offers", "DE.2", None, 1)]
+
+
 def test_latest_delivery_counts_once(table):
     rows = table([("a", 1, "old"), ("a", 2, "new"), ("a", None, "undated"), (None, 3, "lost"), ("b", None, "only")], "id string, at int, json string").selectExpr("id", "timestamp_seconds(at) AS at", "json")
     assert values(latest_delivery(rows, "id", "at", "json")) == [("a", "new"), ("b", "only")]
