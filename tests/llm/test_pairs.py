@@ -63,6 +63,22 @@ def test_lookalikes_equal_brute_force(spark):
     assert lookalikes.lookalike_pairs(df.limit(0)).count() == 0
 
 
+def test_letters_of_all_scripts_nul_and_null_anchors(spark):
+    # of one skeleton in Unicode's confusables, though not of an ASCII letter, or of a script without letter case
+    same = [("кино", "κинο"), ("Лук", "Λук"), ("фон", "φон"), ("Ӕon", "Æon"), ("әlma", "əlma"), ("ɑlpha", "alpha"), ("tᴏp", "top"), ("カボ", "力ボ"), ("ヘルプ", "へルプ"), ("ביס", "ביo"), ("Om\x08en", "Omen")]
+    rows = [(f"{'ab'[k]}{i:02}", t, None if i % 2 else False) for i, pair in enumerate(same) for k, t in enumerate(pair)]
+    # must stay apart: accents, letter case, digits, visible punctuation, and letters that one script tells apart
+    rows += [(f"z{i:02}", t, None) for i, t in enumerate(["Cafe", "Café", "căn", "cǎn", "ѣ", "Ѣ", "Θ", "θ", "3", "З", "O1", "Ol", "OI", "it's", "it’s", "a-b", "a–b", "ดาว", "ตาว", "คาว", "پر", "ثر", "kız", "kiz", "ור", "ןר", "土", "士"])]
+    df = spark.createDataFrame(rows, "record string, text string, anchor boolean").coalesce(1)
+    assert values(lookalikes.lookalike_pairs(df)) == [(f"a{i:02}", f"b{i:02}") for i in range(len(same))]
+    nul = [("a", "sound\x00s", False), ("b", "sound", False), ("c", "sоund", False), ("d", "sound\x00t", False), ("e", "sоund\x00x", False)]
+    assert values(lookalikes.lookalike_pairs(spark.createDataFrame(nul, "record string, text string, anchor boolean").coalesce(1))) == [("b", "c")]
+    wide = normal.unicode_lookalikes(spark)
+    letters = {chr(c) for c in [*wide.as_is, *wide.folded]} | {*map(str, wide.as_is.values())}
+    assert [c for c in letters if normal.look(normal.look(c, wide), wide) != normal.look(c, wide)] == []
+    assert [c for c in letters if normal.canonical(normal.canonical(c, wide), wide) != normal.canonical(c, wide)] == []
+
+
 def test_copies_equal_brute_force(spark):
     rng = random.Random(4)
 
